@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslake.llm import mixing, secrets, toxicity
+from presslake.llm import minhash, mixing, secrets, toxicity
 from presslake.llm.common import read
 
 
@@ -16,6 +16,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.reject_toxic(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.drop_near_duplicates(docs)
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets.redact(docs)
 
@@ -24,7 +28,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.apply_mix(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("secret_scans", redact_secrets), ("mixing", mix_sources)]
+STAGES = [("toxicity", drop_toxic), ("minhash_near_dedup", drop_copies), ("secret_scans", redact_secrets), ("mixing", mix_sources)]
 
 #: A trained classifier and an automaton are no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

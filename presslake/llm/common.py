@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -42,17 +43,40 @@ def map_batches(df: DataFrame, out: pa.Schema, start: Callable[[], Callable[[pa.
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut: written to the folder that the cluster names in spark.checkpoint.dir.
+    """df with its lineage cut: written to the folder that the cluster names in spark.checkpoint.dir."""
+    _set_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
-    The session's setting is taken; a folder of our own is set only where there is none, as in tests.
-    """
-    sc = df.sparkSession.sparkContext
+
+def _set_checkpoint_dir(spark: SparkSession) -> None:
+    """The session's setting is taken; a folder of our own is set only where there is none, as in tests."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="presslake-"))
-    return df.checkpoint(eager=True)
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="presslake-"))
 
 
 def join_on(left: DataFrame, right: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
     """Equi-join in which null equals null; the keys are kept once, from the left."""
     right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     return left.join(right, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys], how).drop(*[f"_right_{k}" for k in keys])
+
+
+class Scratch:
+    """Tables written to the shared checkpoint folder, in place of lineage; clear() removes them again."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        sc = spark.sparkContext
+        _set_checkpoint_dir(spark)
+        self.root = f"{sc._jsc.sc().getCheckpointDir().get()}/presslake-{uuid.uuid4().hex}"
+        self.n = 0
+
+    def store(self, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{self.n}"
+        self.n += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secrets, toxicity
+from . import minhash, mixing, secrets, toxicity
 from .common import read
 
 
@@ -21,5 +21,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_mixing, op4_toxicity)}
-ORACLE_SQL = {"op3_mixing": mixing.SQL}
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_mixing, op4_toxicity, op8_minhash_near_dedup)}
+ORACLE_SQL = {"op3_mixing": mixing.SQL, "op8_minhash_near_dedup": minhash.SQL}
