@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslake.llm import minhash, mixing, secrets, toxicity
-from presslake.llm.common import read
+from presslake.llm import minhash, mixing, pieces, secrets, suffix_encoding, toxicity
+from presslake.llm.common import Scratch, read
+from presslake.llm.queries import PIECE_MODEL
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,14 +29,21 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.apply_mix(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("minhash_near_dedup", drop_copies), ("secret_scans", redact_secrets), ("mixing", mix_sources)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix_encoding.encode(docs, pieces.load(PIECE_MODEL))
+
+
+STAGES = [("toxicity", drop_toxic), ("minhash_near_dedup", drop_copies), ("secret_scans", redact_secrets), ("mixing", mix_sources), ("sentencepiece", encode)]
 
 #: A trained classifier and an automaton are no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    """All stages on documents. Each result but the last is written to the shared folder and read again."""
+    docs, scratch = read(spark, sf_dir, "documents"), Scratch(spark)
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = scratch.store(docs)
     return docs

@@ -26,7 +26,6 @@ class Vocabulary:
     def __init__(self, pieces: list[str], ids: dict[str, int], scores: dict[str, float], byte_ids: list[int]) -> None:
         self.pieces, self.ids, self.scores, self.byte_ids = pieces, ids, scores, byte_ids
         self.longest = max(map(len, ids))
-        self._agrees: dict[tuple[int, int], bool] = {}
 
     def __reduce__(self):
         return Vocabulary, (self.pieces, self.ids, self.scores, self.byte_ids)
@@ -55,14 +54,8 @@ class Vocabulary:
             last = None
         if piece == UNKNOWN:
             return True
-        key = (UNKNOWN if last is None else last, piece)
-        known = self._agrees.get(key)
-        if known is None:
-            if len(self._agrees) > 1_000_000:
-                self._agrees.clear()
-            parts = ([] if last is None else [self.pieces[last]]) + [self.pieces[piece]]
-            known = self._agrees[key] = self.merged("".join(parts)) == parts
-        return known
+        parts = ([] if last is None else [self.pieces[last]]) + [self.pieces[piece]]
+        return self.merged("".join(parts)) == parts
 
     def spelt(self, char: str) -> list[int]:
         return [self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")]

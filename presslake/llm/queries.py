@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, secrets, toxicity
+from . import minhash, mixing, pieces, secrets, suffix_encoding, toxicity
 from .common import read
 
+#: A public vocabulary; read on the driver only.
+PIECE_MODEL = os.environ.get("PRESSLAKE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"))
@@ -21,9 +26,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECE_MODEL) -> DataFrame:
+    return suffix_encoding.encode(read(spark, sf_dir, "documents"), pieces.load(model))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_mixing, op4_toxicity, op8_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_mixing, op4_toxicity, op7_sentencepiece, op8_minhash_near_dedup)}
 ORACLE_SQL = {"op3_mixing": mixing.SQL, "op8_minhash_near_dedup": minhash.SQL}

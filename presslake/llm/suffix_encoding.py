@@ -17,20 +17,31 @@ from .common import map_batches
 from .pieces import MARK, UNKNOWN, Vocabulary, pre_tokens
 
 #: Pre-tokens a worker remembers before it starts afresh.
-_MEMORY = 400_000
+_MEMORY = 600_000
 _BORDER = 0x110000
+_START = -2
 
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first `depth` (or a few more) codes."""
-    rank = np.unique(codes, return_inverse=True)[1].astype(np.int64).ravel() + 1
-    length = 1
+    """Suffixes in the order of their first `depth` (or a few more) codes.
+
+    As many codes as fit are packed into the first sort key; prefix doubling goes on from there.
+    """
+    kinds, rank = np.unique(codes, return_inverse=True)
+    rank = rank.astype(np.int64).ravel() + 1
+    bits = int(len(kinds)).bit_length()
+    length = max(1, min(depth, 62 // bits))
+    padded = np.concatenate([rank, np.zeros(length, dtype=np.int64)])
+    key = np.zeros_like(rank)
+    for k in range(length):
+        key = (key << bits) | padded[k : k + len(rank)]
     while length < depth:
+        rank = np.unique(key, return_inverse=True)[1].astype(np.int64).ravel() + 1
         behind = np.zeros_like(rank)
         behind[:-length] = rank[length:]
-        rank = np.unique(rank * (rank.max() + 1) + behind, return_inverse=True)[1].astype(np.int64).ravel() + 1
+        key = rank * (rank.max() + 1) + behind
         length *= 2
-    return np.argsort(rank, kind="stable")
+    return np.argsort(key)
 
 
 def occurrences(codes: np.ndarray, order: np.ndarray, pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +76,7 @@ def occurrences(codes: np.ndarray, order: np.ndarray, pieces: list[np.ndarray])
 class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self.piece_ids = list(vocabulary.ids.values())
+        self.piece_ids = np.array(list(vocabulary.ids.values()), dtype=np.int64)
         self.piece_codes = [np.array(list(map(ord, p)), dtype=np.int64) for p in vocabulary.ids]
         self.piece_lengths = np.array([len(p) for p in vocabulary.ids])
         spelt = [p.replace(MARK, " ").encode() if p in vocabulary.ids else b"" for p in vocabulary.pieces]
@@ -76,54 +87,70 @@ class Encoder:
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
+        self.known: dict[int, bool] = {}
         self.flat, self.starts, self.lengths = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def edges(self, words: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
-        """The indexed text and all edges (from, to, id), sorted by where they end and then by where they start."""
-        text = "\n".join(words)  # a border: no piece holds a newline
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All edges (from, to, id) of the indexed codes."""
         order = suffix_array(codes, self.vocabulary.longest)
         low, high = occurrences(codes, order, self.piece_codes)
         counts = high - low
         which = np.repeat(np.arange(len(counts)), counts)
-        at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)
-        starts = order[at]
-        ends = starts + self.piece_lengths[which]
-        by = np.lexsort((starts, ends))
-        return text, starts[by], ends[by], np.array(self.piece_ids)[which][by]
+        starts = order[np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)]
+        return starts, starts + self.piece_lengths[which], self.piece_ids[which]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each of the words (distinct pre-tokens)."""
+        """Ids of each of the words (distinct pre-tokens without newlines)."""
         if not words:
             return []
-        text, starts, ends, ids = self.edges(words)
-        agrees, unknown = self.vocabulary.agrees, UNKNOWN
-        starts, ends, ids = starts.tolist(), ends.tolist(), ids.tolist()
-        out, at, first = [], 0, 0
-        last: dict[int, int] = {}
-        back: dict[int, int] = {}
-        for word in words:
-            end = first + len(word)
-            last.clear()
-            for position in range(first + 1, end + 1):
-                while at < len(ends) and ends[at] < position:
-                    at += 1
-                k, single = at, False
-                while k < len(ends) and ends[k] == position:
-                    single |= starts[k] == position - 1
-                    if position not in last and (starts[k] == first or starts[k] in last) and agrees(last.get(starts[k]), ids[k]):
-                        last[position], back[position] = ids[k], starts[k]
-                    k += 1
-                if not single:
-                    last[position], back[position] = unknown, position - 1
-            tokens, position = [], end
+        text = "\n".join(words) + "\n"  # a border: no piece holds a newline
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        lengths = np.array(list(map(len, words)))
+        firsts = np.cumsum(lengths + 1) - lengths - 1
+        first_of = np.repeat(firsts, lengths + 1)
+        starts, ends, ids = self.edges(codes)
+        plain = np.zeros(len(codes), dtype=bool)
+        plain[starts[ends == starts + 1]] = True
+        alone = np.flatnonzero(~plain & (codes != 10))  # characters without a piece are steps of their own
+        starts, ends, ids = np.concatenate([starts, alone]), np.concatenate([ends, alone + 1]), np.concatenate([ids, np.full(len(alone), UNKNOWN)])
+        # last and back of each position: the token that ends the best way there, and where it began
+        last, back = np.full(len(codes) + 1, _START, dtype=np.int64), np.zeros(len(codes) + 1, dtype=np.int64)
+        steps = ends - first_of[starts]
+        by = np.argsort(steps.astype(np.uint16), kind="stable") if steps.max() < 2**16 else np.argsort(steps, kind="stable")
+        starts, ends, ids = starts[by], ends[by], ids[by]
+        borders = np.flatnonzero(np.diff(steps[by], prepend=-1, append=-1))
+        for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
+            fits = self._agreeing(last[starts[a:b]], ids[a:b])  # one step further in all words at once
+            last[ends[a:b][fits]] = ids[a:b][fits]
+            back[ends[a:b][fits]] = starts[a:b][fits]
+        last, back, spelt = last.tolist(), back.tolist(), self.vocabulary.spelt
+        out = []
+        for first, length in zip(firsts.tolist(), lengths.tolist(), strict=True):
+            tokens, position = [], first + length
             while position > first:
-                tokens.append(last[position] if last[position] != unknown else text[position - 1])
+                if last[position] >= 0:
+                    tokens.append(last[position])
+                else:
+                    tokens.extend(reversed(spelt(text[position - 1])))
                 position = back[position]
-            out.append([i for token in reversed(tokens) for i in (self.vocabulary.spelt(token) if isinstance(token, str) else [token])])
-            first = end + 1
+            tokens.reverse()
+            out.append(tokens)
         return out
 
+    def _agreeing(self, last: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Vocabulary.agrees of each pair, asked once for each distinct pair. An edge from the start of a word has last _START."""
+        width = len(self.vocabulary.pieces) + 2
+        keys, inverse = np.unique((last + 2) * width + ids + 2, return_inverse=True)
+        known, agrees = self.known, self.vocabulary.agrees
+        answers = np.empty(len(keys), dtype=bool)
+        for i, key in enumerate(keys.tolist()):
+            answer = known.get(key)
+            if answer is None:
+                before, piece = key // width - 2, key % width - 2
+                answer = known[key] = agrees(None if before == _START else before, piece)
+            answers[i] = answer
+        return answers[inverse.ravel()]
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and for each text where its ids start (one more at the end). Null gives none."""
         words = [pre_tokens(t) if t else [] for t in texts]
