@@ -22,10 +22,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, out: pa.Schema, start: Callable[[], Callable[[pa.RecordBatch], list]]) -> DataFrame:
+def map_batches(df: DataFrame, out: pa.Schema, start: Callable[[], Callable[[pa.RecordBatch], list]], slice_bytes: int = 4 << 20) -> DataFrame:
     """mapInArrow with one `start()` a task; what it returns turns a record batch into columns for `out`.
 
-    Batches are cut by bytes as well as rows, so a run of very long texts can't swell a Python worker.
+    Batches are cut by bytes as well as rows, and handed on in slices of about slice_bytes, so that neither
+    many nor very long texts swell a Python worker.
     """
     conf = df.sparkSession.conf
     if BATCH_BYTES not in conf.getAll:  # a value that the session has set stays
@@ -33,9 +34,10 @@ def map_batches(df: DataFrame, out: pa.Schema, start: Callable[[], Callable[[pa.
 
     def run(batches):
         f = start()
-        for batch in batches:
-            if batch.num_rows:
-                columns = f(batch)
+        for whole in batches:
+            rows = max(1, whole.num_rows * slice_bytes // max(1, whole.nbytes))
+            for at in range(0, whole.num_rows, rows):
+                columns = f(whole.slice(at, rows))
                 arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=t.type) for c, t in zip(columns, out, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=out)
 

@@ -11,13 +11,13 @@ the prefix it leaves - which lets forward passes over positions or trie nodes gi
 from __future__ import annotations
 
 import re
+import string
 from functools import lru_cache
 from pathlib import Path
 
 MARK = "▁"
 #: id that stands for a character without a piece, until it is spelt in bytes.
 UNKNOWN = -1
-_PRE_TOKEN = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 
 class Vocabulary:
@@ -26,6 +26,7 @@ class Vocabulary:
     def __init__(self, pieces: list[str], ids: dict[str, int], scores: dict[str, float], byte_ids: list[int]) -> None:
         self.pieces, self.ids, self.scores, self.byte_ids = pieces, ids, scores, byte_ids
         self.longest = max(map(len, ids))
+        self.pattern = _borders(ids)
 
     def __reduce__(self):
         return Vocabulary, (self.pieces, self.ids, self.scores, self.byte_ids)
@@ -55,6 +56,8 @@ class Vocabulary:
         if piece == UNKNOWN:
             return True
         parts = ([] if last is None else [self.pieces[last]]) + [self.pieces[piece]]
+        if last is not None and "".join(parts) in self.ids:
+            return False  # the two would merge
         return self.merged("".join(parts)) == parts
 
     def spelt(self, char: str) -> list[int]:
@@ -76,6 +79,22 @@ def load(model: str) -> Vocabulary:
     return Vocabulary(pieces, {pieces[i]: i for i in plain}, {pieces[i]: sp.get_score(i) for i in plain}, byte_ids)
 
 
-def pre_tokens(text: str) -> list[str]:
+def _borders(ids: dict[str, int]) -> re.Pattern:
+    """What pre-tokens are: space marks and what follows, up to the next border.
+
+    Nothing merges over a newline (no piece holds one) or before a mark. Nor does it between a letter or
+    digit and a punctuation sign, for those signs that no piece has behind one.
+    """
+    if any("\n" in p or MARK in p.lstrip(MARK) for p in ids):
+        raise ValueError("pieces reach over newlines or into a next word")
+    behind = {b for p in ids for a, b in zip(p, p[1:], strict=False) if a.isalnum()}
+    signs = "".join(map(re.escape, sorted(set(string.punctuation) - behind)))
+    if not signs:
+        return re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
+    other = f"[^{MARK}\n{signs}]"
+    return re.compile(f"{MARK}*[{signs}]*{other}+(?:(?<![^\\W_])[{signs}]+{other}*)*|{MARK}*[{signs}]+|{MARK}+|\n")
+
+
+def pre_tokens(text: str, vocabulary: Vocabulary) -> list[str]:
     """Pre-tokens in order; a space mark stands in front of the text, none for an empty text."""
-    return _PRE_TOKEN.findall(MARK + text.replace(" ", MARK)) if text else []
+    return vocabulary.pattern.findall(MARK + text.replace(" ", MARK)) if text else []

@@ -9,6 +9,8 @@ worker keeps (ids of pre-tokens) is bounded and only saves work.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,7 +19,9 @@ from .common import map_batches
 from .pieces import MARK, UNKNOWN, Vocabulary, pre_tokens
 
 #: Pre-tokens a worker remembers before it starts afresh.
-_MEMORY = 600_000
+_MEMORY = 800_000
+#: Pre-tokens indexed together: a bound of memory, each is looked up among all pieces in any case.
+_INDEXED = 50_000
 _BORDER = 0x110000
 _START = -2
 
@@ -99,10 +103,8 @@ class Encoder:
         starts = order[np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)]
         return starts, starts + self.piece_lengths[which], self.piece_ids[which]
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each of the words (distinct pre-tokens without newlines)."""
-        if not words:
-            return []
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words (distinct pre-tokens without newlines) end to end, and how many each has."""
         text = "\n".join(words) + "\n"  # a border: no piece holds a newline
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
         lengths = np.array(list(map(len, words)))
@@ -123,19 +125,23 @@ class Encoder:
             fits = self._agreeing(last[starts[a:b]], ids[a:b])  # one step further in all words at once
             last[ends[a:b][fits]] = ids[a:b][fits]
             back[ends[a:b][fits]] = starts[a:b][fits]
-        last, back, spelt = last.tolist(), back.tolist(), self.vocabulary.spelt
-        out = []
-        for first, length in zip(firsts.tolist(), lengths.tolist(), strict=True):
-            tokens, position = [], first + length
-            while position > first:
-                if last[position] >= 0:
-                    tokens.append(last[position])
-                else:
-                    tokens.extend(reversed(spelt(text[position - 1])))
-                position = back[position]
-            tokens.reverse()
-            out.append(tokens)
-        return out
+        # back from the ends of all words at once; in order of position the marked steps are the tokens
+        marked = np.zeros(len(codes) + 1, dtype=bool)
+        at, begins = firsts + lengths, firsts
+        while len(at):
+            marked[at] = True
+            at = back[at]
+            within = at > begins
+            at, begins = at[within], begins[within]
+        steps = np.flatnonzero(marked)
+        tokens, counts = last[steps], np.ones(len(steps), dtype=np.int64)
+        for k in np.flatnonzero(tokens == UNKNOWN).tolist():
+            counts[k] = len(self.vocabulary.spelt(text[steps[k] - 1]))
+        ids = np.repeat(tokens, counts)
+        at = np.cumsum(counts) - counts
+        for k in np.flatnonzero(tokens == UNKNOWN).tolist():
+            ids[at[k] : at[k] + counts[k]] = self.vocabulary.spelt(text[steps[k] - 1])
+        return ids.astype(np.int32), np.bincount(np.searchsorted(firsts, steps - 1, side="right") - 1, weights=counts, minlength=len(words)).astype(np.int64)
 
     def _agreeing(self, last: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Vocabulary.agrees of each pair, asked once for each distinct pair. An edge from the start of a word has last _START."""
@@ -151,24 +157,24 @@ class Encoder:
             answers[i] = answer
         return answers[inverse.ravel()]
 
+    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, ids])
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and for each text where its ids start (one more at the end). Null gives none."""
-        words = [pre_tokens(t) if t else [] for t in texts]
+        words = [pre_tokens(t, self.vocabulary) if t else [] for t in texts]
         if len(self.index) > _MEMORY:
             self._forget()
-        new = list(dict.fromkeys(w for own in words for w in own if w not in self.index))
-        if new:
-            newlines = [[i] for i in [self.vocabulary.byte_ids[10]] * ("\n" in new)]
-            plain = [w for w in new if w != "\n"]
-            found = newlines + self.encode_words(plain)
-            for w in ["\n"] * len(newlines) + plain:
-                self.index[w] = len(self.index)
-            lengths = np.array([len(x) for x in found], dtype=np.int64)
-            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.flat = np.concatenate([self.flat, np.array([i for x in found for i in x], dtype=np.int32)])
+        new = list(set(chain.from_iterable(words)) - self.index.keys() - {"\n"})
+        if "\n" not in self.index:
+            self._add(["\n"], np.array([self.vocabulary.byte_ids[10]], dtype=np.int32), np.array([1]))
+        for at in range(0, len(new), _INDEXED):
+            self._add(new[at : at + _INDEXED], *self.encode_words(new[at : at + _INDEXED]))
         per_text = np.array([len(own) for own in words], dtype=np.int64)
-        which = np.fromiter((self.index[w] for own in words for w in own), dtype=np.int64, count=int(per_text.sum()))
+        which = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), dtype=np.int64, count=int(per_text.sum()))
         lengths = self.lengths[which]
         total = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.flat[np.repeat(self.starts[which] - total[:-1], lengths) + np.arange(total[-1])]
