@@ -179,3 +179,30 @@ def redact(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
         return f
 
     return map_batches(docs, schema, start)
+
+
+def _sql() -> str:
+    """DuckDB SQL of the query's rows: matches and the pieces between them, as lists, give the places."""
+    found = []
+    for k, rule in enumerate(BASE + MORE):
+        pattern = ("(?i:password|passwd|secret|token|api_?key)" + rule.pattern.partition(")")[2] if rule.ignore_case else rule.pattern).replace("'", "''")
+        length = "len(s.m)"
+        if rule.value:  # the value starts behind the first : or =
+            length = "len(regexp_replace(regexp_extract(s.m, '[:=]\\x20*(.*)$', 1), '^[\"'']', ''))"
+        found.append(
+            f"""SELECT doc_id, rid, {k} AS k, '{rule.kind}' AS kind, s.a AS a, s.b AS b FROM (
+  SELECT doc_id, rid, unnest(list_transform(range(1, len(ms) + 1), lambda i: {{'m': ms[i],
+      'a': CAST(coalesce(list_sum(list_transform(ps[1:i], lambda x: len(x))), 0) + coalesce(list_sum(list_transform(ms[1:i-1], lambda x: len(x))), 0) AS BIGINT),
+      'b': CAST(coalesce(list_sum(list_transform(ps[1:i], lambda x: len(x))), 0) + coalesce(list_sum(list_transform(ms[1:i], lambda x: len(x))), 0) AS BIGINT)}})) AS s
+      FROM (SELECT doc_id, rid, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS ps FROM d)) WHERE {length} >= {rule.least}"""
+        )
+    spans = "string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k)"
+    return f"""WITH d AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t FROM documents),
+f AS ({" UNION ALL ".join(found)}),
+g AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  {spans} FILTER (k < {len(BASE)}) AS base, {spans} AS spans FROM f GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g ON d.rid = g.rid"""
+
+
+SQL = _sql()
