@@ -6,14 +6,17 @@ Shape of the job, for N documents of which M differ in their shingle sets:
    set, its band keys and a sketch of its signature. Documents of equal sets meet by name under a
    pre-aggregating groupBy, so copies cost one row from there on.
 2. Bands are counted by key with map-side combining; keys of one row (nearly all) drop out. In every
-   other bucket each member is paired with the bucket's smallest member: linear in the bucket.
+   other bucket each member is paired with the bucket's most central one, which meets most others over all
+   its buckets: linear in the bucket.
 3. Pairs pass the signature check, then the exact check on full sets, and become links.
 4. Large-star and small-star alternate until the links are stars.
-5. What stars in buckets can't see - a member that isn't close to its bucket's smallest, but to another
+5. What stars in buckets can't see - a member that isn't close to its bucket's centre, but to another
    member - is settled exactly: in buckets whose members ended in different components, members of
-   different components are paired and checked the same way, until such pairs give no new link.
+   different components are paired and checked the same way. What each member has in common with the
+   centre, and which shingles it has beside it, rules out nearly all pairs that are no links before they are made.
 
-No pair within a settled component is ever made, so a group of copies of any size costs its size.
+No pair within a component is made, and none of a far member with the core of a group, so a group of
+copies of any size costs its size.
 With 45 bands of 6 rows a pair of similarity 0.8 shares no bucket with a chance of 1.2e-6.
 """
 
@@ -34,7 +37,6 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20240607)
 _A = _random.integers(1, 2**32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-_B = _random.integers(0, 2**32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -66,7 +68,7 @@ class Shingler:
         words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
         if not words:
             return np.empty(0, dtype=np.uint64)
-        if len(self.words) > 400_000:
+        if len(self.words) > 200_000:
             self.words.clear()
         h = np.fromiter(map(self.words.__getitem__, words), dtype=np.uint64, count=len(words))
         n = min(self.width, len(words))
@@ -77,11 +79,11 @@ class Shingler:
 
 
 def minima(hashes: np.ndarray) -> np.ndarray:
-    """The least value of each hash a*x + b mod 2^32 over a non-empty set."""
+    """The least value of each universal hash a*x mod 2^32 (a odd) over a non-empty set."""
     x = (hashes >> np.uint64(32)).astype(np.uint32)
     best = None
     for at in range(0, len(x), 512):  # blocks stay in the cache
-        block = (np.multiply.outer(x[at : at + 512], _A) + _B).min(axis=0)
+        block = np.multiply.outer(x[at : at + 512], _A).min(axis=0)
         best = block if best is None else np.minimum(best, block)
     return best
 
@@ -152,29 +154,28 @@ def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return map_batches(pairs.select("a", "b", "sketch_a", "sketch_b"), pa.schema([("a", pa.int64()), ("b", pa.int64())]), start)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """Exact check: pairs with whole * |A and B| >= part * |A or B|."""
+def _compared(pairs: DataFrame, sets: DataFrame, beside: bool = False) -> DataFrame:
+    """pairs(a, b) with the sizes of the intersection and the union of their full sets and, if asked for, what only a has."""
     for side in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("hashes").alias(f"set_{side}")), side)
+    out = pa.schema([(c, pa.int64()) for c in ("a", "b", "common", "both")] + [("beside", pa.list_(pa.int64()))] * beside)
 
     def start():
         def f(batch):
-            keep = []
+            common, union, rest = [], [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                if whole * min(len(x), len(y)) < part * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")  # merges two sorted runs
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(whole * common >= part * (len(both) - common))
-            kept = pa.array(keep, pa.bool_())
-            return [batch.column(k).filter(kept) for k in (0, 1)]
+                common.append(int((both[1:] == both[:-1]).sum()))
+                union.append(len(both) - common[-1])
+                if beside:
+                    rest.append(np.setdiff1d(x, y, assume_unique=True).view(np.int64))
+            return [batch.column(0), batch.column(1), common, union, *[rest] * beside]
 
         return f
 
-    return map_batches(pairs.select("a", "b", "set_a", "set_b"), pa.schema([("a", pa.int64()), ("b", pa.int64())]), start)
+    return map_batches(pairs.select("a", "b", "set_a", "set_b"), out, start)
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -214,8 +215,12 @@ def near_duplicates(docs: DataFrame, width: int = 2, part: int = 80, whole: int
     classes = scratch.store(signed.groupBy("set_id").agg(F.min("doc_id").alias("node"), *[F.any_value(c).alias(c) for c in ("n_shingles", "bands", "sketch")]))
 
     rows = classes.select("node", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("node").alias("rep"), F.count("*").alias("n")).where("n > 1").select("key", "rep")
-    buckets = scratch.store(rows.join(shared, "key"))
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    sized = scratch.store(rows.join(shared, "key"))
+    # the member that meets most others over all its buckets stands in the middle of its group
+    central = sized.join(sized.groupBy("node").agg(F.sum("n").alias("met")), "node")
+    central = central.groupBy("key").agg(F.max_by("node", F.struct("met", -F.col("node"))).alias("rep"))
+    buckets = scratch.store(sized.select("key", "node").join(central, "key"))
     sketches = classes.select("node", "sketch")
     members = buckets.select(F.col("node").alias("doc_id")).distinct()
 
@@ -232,23 +237,40 @@ def near_duplicates(docs: DataFrame, width: int = 2, part: int = 80, whole: int
     sets = scratch.store(hashed)
 
     pairs = buckets.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
-    links = scratch.store(_linked(_alike(pairs, sketches), sets, part, whole))
+    enough = F.col("common") * whole >= F.col("both") * part
+    links = scratch.store(_compared(_alike(pairs, sketches), sets).where(enough).select("a", "b"))
     labels = scratch.store(components(links, scratch))
-    while True:
-        # members whose buckets hold another component too
-        labelled = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
-        mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-        sized = labelled.join(mixed, "key").join(classes.select("node", "n_shingles"), "node")
-        one, two = (sized.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "n_shingles")]) for side in "ab")
-        near = (F.col("node_a") > F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
-        for x, y in ("ab", "ba"):
-            near &= F.col(f"n_shingles_{x}") * whole >= F.col(f"n_shingles_{y}") * part
-        rest = one.join(two, "key").where(near).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-        new = scratch.store(_linked(_alike(rest, sketches), sets, part, whole))
-        if new.isEmpty():
-            break
-        links = links.unionAll(new)
-        labels = scratch.store(components(links, scratch))
+
+    # centres whose members are of several components, with what each member has in common with the centre
+    spoked = buckets.select("node", "rep").distinct().join(labels, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("label"))
+    mixed = spoked.groupBy("rep").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("rep")
+    spoked = scratch.store(spoked.join(mixed, "rep").join(classes.select("node", "n_shingles"), "node"))
+    measured = _compared(spoked.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")), sets, beside=True)
+    placed = spoked.join(measured.withColumnsRenamed({"a": "node", "b": "rep"}), ["node", "rep"], "left")
+    placed = scratch.store(placed.select("node", "rep", "label", F.col("n_shingles").alias("n"), F.coalesce("common", "n_shingles").alias("common"), F.coalesce("both", "n_shingles").alias("both"), F.coalesce("beside", F.array().cast("array<bigint>")).alias("beside")))
+    # Two members that are both linked to the centre are in one component, so one of each pair sought isn't: `far`.
+    # What two sets share lies inside the centre's set or beside it, so linked pairs have enough in common with the
+    # centre, or they share a shingle beside it.
+    far = placed.where(~enough).select("rep", *[F.col(c).alias(f"far_{c}") for c in ("node", "label", "n", "common", "beside")])
+    apart = F.col("label") != F.col("far_label")
+    for x, y in (("", "far_"), ("far_", "")):
+        apart &= F.col(f"{x}n") * whole >= F.col(f"{y}n") * part
+
+    def may(most):
+        """Whether sets that share no more than `most` can be alike enough."""
+        return most * (whole + part) >= (F.col("n") + F.col("far_n")) * part
+
+    inside = F.least("common", "far_common")
+    beside = F.least(F.col("n") - F.col("common"), F.col("far_n") - F.col("far_common"))
+    pair = [F.greatest("node", "far_node").alias("a"), F.least("node", "far_node").alias("b")]
+    members = placed.select("rep", "node", "label", "n", "common")
+    rest = far.drop("far_beside").join(members, "rep").where(apart & may(inside)).select(*pair)
+    by_shingle = placed.select("rep", "node", "label", "n", "common", F.explode("beside").alias("shingle"))
+    far = far.select("rep", "far_node", "far_label", "far_n", "far_common", F.explode("far_beside").alias("shingle"))
+    rest = rest.unionAll(far.join(by_shingle, ["rep", "shingle"]).where(apart & may(inside + beside)).select(*pair)).distinct()
+    new = scratch.store(_compared(_alike(rest, sketches), sets).where(enough).select("a", "b"))
+    if not new.isEmpty():
+        labels = scratch.store(components(links.unionAll(new), scratch))
 
     # each class's members get the component of its smallest id
     out = labels.join(classes.select("node", "set_id"), "node", "right").select("set_id", F.coalesce("component", "node").alias("class_component"))
