@@ -21,7 +21,7 @@ from .common import map_batches
 from .pieces import UNKNOWN, Vocabulary, pre_tokens
 
 #: Pre-tokens a worker remembers, and how many go into one trie: bounds of memory, not of what is counted.
-_MEMORY, _TRIE = 800_000, 20_000
+_MEMORY, _TRIE = 1_200_000, 20_000
 
 
 class TrieCounter:
@@ -31,8 +31,9 @@ class TrieCounter:
         self.vocabulary = vocabulary
         self.log_probs = log_probs or {p: -math.log(2 - s) for p, s in vocabulary.scores.items()}
         self.floor = min(self.log_probs.values()) - 10
-        #: endings of pieces: the walk back from a prefix's end stops where no piece goes on
-        self.endings = {p[k:] for p in vocabulary.ids for k in range(len(p))}
+        #: endings of pieces with the piece's id, or -1 if the ending is no piece: the walk back from a prefix's end stops where no piece goes on
+        self.endings = dict.fromkeys((p[k:] for p in vocabulary.ids for k in range(len(p))), -1) | vocabulary.ids
+        self.scores = [self.log_probs.get(p, 0.0) for p in vocabulary.pieces]
         self.agrees: dict[tuple[int | None, int], bool] = {}
         self.index: dict[str, int] = {}
         self.tables = [np.empty(0, np.int64), np.empty(0, np.int64)]
@@ -46,7 +47,7 @@ class TrieCounter:
                 node = node.setdefault(char, {})
             node[""] = i
         merged, unigram = [0] * len(words), [0] * len(words)
-        ids, scores, endings, longest = self.vocabulary.ids, self.log_probs, self.endings, self.vocabulary.longest
+        ids, scores, endings, longest = self.vocabulary.ids, self.scores, self.endings, self.vocabulary.longest
         known, ask = self.agrees, self.vocabulary.agrees
         # one entry for each depth of the path walked: last token and count of the merge pass, score and count of the unigram pass
         last: list[int | None] = [None]
@@ -60,25 +61,26 @@ class TrieCounter:
                         column.append(0)
                 char = tail[-1]
                 if char in ids:
-                    top, found = -math.inf, False
-                    for n in range(1, min(longest, depth) + 1):
-                        ending = tail[-n:]
-                        if ending not in endings:
-                            break
-                        piece = ids.get(ending)
+                    top, fewest, found = -math.inf, 0, False
+                    before = depth
+                    for at in range(len(tail) - 1, -1, -1):
+                        piece = endings.get(tail[at:])
+                        before -= 1
                         if piece is None:
+                            break
+                        if piece < 0:
                             continue
-                        score = best[depth - n] + scores[ending]
+                        score = best[before] + scores[piece]
                         if score >= top:
-                            top, n_best[depth] = score, n_best[depth - n] + 1
+                            top, fewest = score, n_best[before] + 1
                         if not found:
-                            key = (last[depth - n], piece)
+                            key = (last[before], piece)
                             found = known.get(key)
                             if found is None:
                                 found = known[key] = ask(*key)
                             if found:
-                                last[depth], n_merged[depth] = piece, n_merged[depth - n] + 1
-                    best[depth] = top
+                                last[depth], n_merged[depth] = piece, n_merged[before] + 1
+                    best[depth], n_best[depth] = top, fewest
                 else:
                     n = len(char.encode("utf-8", "surrogatepass"))
                     last[depth], n_merged[depth] = UNKNOWN, n_merged[depth - 1] + n
