@@ -26,7 +26,7 @@ from .common import map_batches
 
 _WORDS = re.compile(r"\w+")
 #: Words that a worker remembers the features of; the memory is emptied when full, which changes no result.
-_MEMORY = 500_000
+_MEMORY = 200_000
 
 
 def word_features(word: str) -> list[str]:
@@ -55,7 +55,7 @@ def graded(sets: list[set[str]], toxic: np.ndarray, telling: set[str]) -> np.nda
     return toxic + ((toxic > 0) & (found > np.median(found[toxic > 0]))).astype(int)
 
 
-def fit(texts: list[str], toxic: list[int], max_features: int = 4000, min_docs: int = 3, steps: int = 400, ridge: float = 1e-3) -> OrdinalModel:
+def fit(texts: list[str], toxic: list[int], max_features: int = 4000, min_docs: int = 3, steps: int = 300, ridge: float = 2e-4) -> OrdinalModel:
     """Fits by full-batch gradient steps (Adam) on the cumulative-link likelihood.
 
     Features are those whose presence tells toxic from other texts best (likelihood ratio), at most max_features.
@@ -64,10 +64,9 @@ def fit(texts: list[str], toxic: list[int], max_features: int = 4000, min_docs:
     y = np.asarray(toxic, dtype=int)
     if not (y > 0).any() or not (y == 0).any():
         return OrdinalModel()
-    sets = [features(t) for t in texts]
     hot, cold = Counter(), Counter()
-    for s, g in zip(sets, y, strict=True):
-        (hot if g else cold).update(s)
+    for t, g in zip(texts, y, strict=True):  # the feature sets are made twice and never held together
+        (hot if g else cold).update(features(t))
     n1, n0 = int((y > 0).sum()), int((y == 0).sum())
 
     def ratio(f: str) -> float:
@@ -80,19 +79,23 @@ def fit(texts: list[str], toxic: list[int], max_features: int = 4000, min_docs:
     kept = [f for score, f in scored[:max_features] if score >= 12]
     if not kept:
         return OrdinalModel()
-    y = graded(sets, y, {f for f in kept if hot[f] * n0 > cold[f] * n1 and f[-1] != "*"})
-    top = int(y.max())
+    telling = {f for f in kept if hot[f] * n0 > cold[f] * n1 and f[-1] != "*"}
+    del hot, cold, scored
     index = {f: i for i, f in enumerate(kept)}
-    lengths = [sorted(index[f] for f in s if f in index) for s in sets]
+    sets = [features(t) & index.keys() for t in texts]
+    y = graded(sets, y, telling)
+    top = int(y.max())
+    lengths = [sorted(map(index.__getitem__, s)) for s in sets]
     rows = np.repeat(np.arange(len(sets)), [len(x) for x in lengths])
     cols = np.array([i for x in lengths for i in x], dtype=np.int64)
     w, bounds = np.zeros(len(kept)), np.linspace(1.0, 1.0 + top - 1, top)
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(bounds), np.zeros_like(bounds)]
     over = (y[:, None] > np.arange(top)[None, :]).astype(float)
+    emphasis = np.where(np.arange(top) == 0, 4.0, 1.0)  # whether a text is toxic at all matters most
     for step in range(1, steps + 1):
         x = np.bincount(rows, weights=w[cols], minlength=len(y))
-        error = (over - 1 / (1 + np.exp(np.clip(bounds[None, :] - x[:, None], -50, 50)))) / len(y)
-        grad_w = -np.bincount(cols, weights=error.sum(1)[rows], minlength=len(kept)) + ridge * w / len(y)
+        error = emphasis * (over - 1 / (1 + np.exp(np.clip(bounds[None, :] - x[:, None], -50, 50)))) / len(y)
+        grad_w = -np.bincount(cols, weights=error.sum(1)[rows], minlength=len(kept)) + ridge * w
         grad_b = error.sum(0)
         for value, grad, m, v in ((w, grad_w, state[0], state[1]), (bounds, grad_b, state[2], state[3])):
             m += 0.1 * (grad - m)
@@ -112,7 +115,7 @@ def sample(docs: DataFrame, labels: DataFrame, max_labelled: int) -> tuple[list[
     return rows["text"].tolist(), rows["_toxic"].tolist()
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, **options) -> OrdinalModel:
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 5000, **options) -> OrdinalModel:
     texts, toxic = sample(docs, labels, max_labelled)
     return fit(texts, toxic, **options)
 
@@ -152,8 +155,9 @@ def _judged(model: OrdinalModel, texts: list, threshold: float):
     return p.sum(1), p[:, 0], np.where(toxic, np.maximum(1, (p >= threshold).sum(1)), 0).astype(np.int32), toxic
 
 
-def score(docs: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> DataFrame:
-    """doc_id, severity (expected grade), p_toxic, grade and toxic (p_toxic >= threshold) of every whole text.
+def score(docs: DataFrame, model: OrdinalModel, threshold: float = 0.15) -> DataFrame:
+    """doc_id, severity (expected grade), p_toxic, grade and toxic (p_toxic >= threshold; a low one, since
+    texts without telling words score some hundredths) of every whole text.
 
     Null or empty text has the severity of a text without features; null ids stay; each repeated row is
     scored alike; an empty table gives no rows; no other column is read.
@@ -169,7 +173,7 @@ def score(docs: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> DataF
     return map_batches(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), SCORED, start)
 
 
-def reject_toxic(docs: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> DataFrame:
+def reject_toxic(docs: DataFrame, model: OrdinalModel, threshold: float = 0.15) -> DataFrame:
     """docs without the rows judged toxic; columns as they were."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
