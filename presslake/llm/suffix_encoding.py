@@ -19,9 +19,9 @@ from .common import map_batches
 from .pieces import MARK, UNKNOWN, Vocabulary, pre_tokens
 
 #: Pre-tokens a worker remembers before it starts afresh.
-_MEMORY = 1_000_000
+_MEMORY = 300_000
 #: Pre-tokens indexed together: a bound of memory, each is looked up among all pieces in any case.
-_INDEXED = 50_000
+_INDEXED = 30_000
 _BORDER = 0x110000
 _START = -2
 
