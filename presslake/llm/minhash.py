@@ -261,13 +261,15 @@ def near_duplicates(docs: DataFrame, width: int = 2, part: int = 80, whole: int
         return most * (whole + part) >= (F.col("n") + F.col("far_n")) * part
 
     inside = F.least("common", "far_common")
-    beside = F.least(F.col("n") - F.col("common"), F.col("far_n") - F.col("far_common"))
+    # Shingles beside the centre stand in one order, so behind the first that two members share each has no more than
+    # are left to it; a shingle met later than that makes no pair.
+    left = F.least(F.col("n") - F.col("common") - F.col("place"), F.col("far_n") - F.col("far_common") - F.col("far_place"))
     pair = [F.greatest("node", "far_node").alias("a"), F.least("node", "far_node").alias("b")]
     members = placed.select("rep", "node", "label", "n", "common")
     rest = far.drop("far_beside").join(members, "rep").where(apart & may(inside)).select(*pair)
-    by_shingle = placed.select("rep", "node", "label", "n", "common", F.explode("beside").alias("shingle"))
-    far = far.select("rep", "far_node", "far_label", "far_n", "far_common", F.explode("far_beside").alias("shingle"))
-    rest = rest.unionAll(far.join(by_shingle, ["rep", "shingle"]).where(apart & may(inside + beside)).select(*pair)).distinct()
+    by_shingle = placed.select("rep", "node", "label", "n", "common", F.posexplode("beside").alias("place", "shingle"))
+    far = far.select("rep", "far_node", "far_label", "far_n", "far_common", F.posexplode("far_beside").alias("far_place", "shingle"))
+    rest = rest.unionAll(far.join(by_shingle, ["rep", "shingle"]).where(apart & may(inside + left)).select(*pair)).distinct()
     new = scratch.store(_compared(_alike(rest, sketches), sets).where(enough).select("a", "b"))
     if not new.isEmpty():
         labels = scratch.store(components(links.unionAll(new), scratch))
