@@ -7,6 +7,7 @@ are kept as written instead of being decoded and encoded again, so `%20` and `+`
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -42,6 +43,12 @@ SUFFIXES = (
 _PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value evaluated once, however often use mentions it: keeps nested expressions, and what the
+    optimiser makes of them when it moves filters, small."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _part(url: Column, group: int) -> Column:
     return F.regexp_extract(F.trim(url), _PARTS, group)
 
@@ -111,21 +118,22 @@ def segments(p: Column) -> Column:
 
 def is_non_news(url: Column) -> Column:
     """Hard sections always; soft ones unless a news segment stands in the path too."""
-    p = path(canonical(url))
-    return p.rlike(NON_ARTICLE_SECTION) | (p.rlike(SOFT_NON_NEWS) & ~p.rlike(NEWS_SEGMENT))
+    return let(path(canonical(url)), lambda p: p.rlike(NON_ARTICLE_SECTION) | (p.rlike(SOFT_NON_NEWS) & ~p.rlike(NEWS_SEGMENT)))
 
 
 def classify(url: Column) -> Column:
     """STRUCT<score DOUBLE, is_article BOOLEAN, reasons ARRAY<STRING>> from the URL's shape alone."""
-    c = canonical(url)
-    p = path(c)
+    return let(F.struct(path(canonical(url)).alias("p"), query(canonical(url)).alias("q")), lambda s: _shape(s["p"], s["q"]))
+
+
+def _shape(p: Column, q: Column) -> Column:
     parts = segments(p)
     n = F.size(parts)
     last = F.element_at(F.concat(F.array(F.lit("")), parts), -1)
     slug = F.regexp_replace(last, r"(?i)\.(html?|php|aspx?)$", "")
     words = F.size(F.filter(F.split(slug, "[-_]"), lambda w: w != ""))
     digits = slug.rlike(r"^\d+$")
-    names = F.transform(F.filter(F.split(query(c), "&"), lambda q: q.rlike("=.")), lambda q: F.regexp_extract(q, "^([^=]*)", 1))
+    names = F.transform(F.filter(F.split(q, "&"), lambda x: x.rlike("=.")), lambda x: F.regexp_extract(x, "^([^=]*)", 1))
     hard, soft = p.rlike(NON_ARTICLE_SECTION), p.rlike(SOFT_NON_NEWS) & ~p.rlike(NEWS_SEGMENT)
     dated = p.rlike(DATE_IN_PATH) | p.rlike(COMPACT_DATE)
     worded = (n > 0) & (words >= 3) & ~digits
@@ -135,7 +143,7 @@ def classify(url: Column) -> Column:
         (p.rlike(LISTING_PATH), -3.0, F.lit("listing path segment")),
         (hard, -10.0, F.lit("non-news section")),
         (~hard & soft, -10.0, F.lit("static institutional section")),
-        (F.exists(names, lambda q: q.rlike(LISTING_QUERY)), -3.0, F.lit("pagination query param")),
+        (F.exists(names, lambda x: x.rlike(LISTING_QUERY)), -3.0, F.lit("pagination query param")),
         ((n > 0) & last.rlike(SECTION_INDEX), -3.0, F.concat(F.lit("section index: /"), last)),
         (dated, 2.5, F.lit("date in path")),
         (n >= 3, 0.5, F.lit("deep path")),

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, responses, text, urls
-from ..operators import articles, audit, faults, frontier, politeness, records, status, validation
-from ..schemas import FAULT_KINDS, HEALTH_SEVERITY, OWNER, OWNER_WEIGHT, SEVERITY
+from ..operators import articles, audit, extract, faults, frontier, politeness, records, status, validation
+from ..schemas import HEALTH_SEVERITY, OWNER, OWNER_WEIGHT, SEVERITY
+from ..sources import pages
 from .inputs import NOW, cte, load
 
 AS_OF = datetime.fromisoformat(NOW)
@@ -407,4 +408,16 @@ def wire_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.resolve(rows.select("a_id", "url", "published", "prefix", "headline", "headline_full"), none).select("a_id", "url", "published", "filename", "outcome", "width")
 
 
-assert set(FAULT_KINDS) <= set(SEVERITY)
+@query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS h1,
+  len(regexp_extract_all(html, '<a href="[^"]+"')) AS n_links, len(regexp_extract_all(html, '<script')) AS scripts FROM pages""")
+def page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT1-EXT6, SRC13: the one parse of each page."""
+    facts = pages.parse(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return facts.select("page_id", "h1", F.size("links").cast("long").alias("n_links"), F.col("scripts").cast("long").alias("scripts"))
+
+
+@query()
+def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT7-EXT10, EXT19-EXT32: records with provenance, dates, quality and usability."""
+    out = extract.records(pages.parse(spark.read.parquet(f"{sf_dir}/pages.parquet")), AS_OF)
+    return out.select("page_id", "headline", "headline_source", "body_source", F.length("body").alias("body_chars"), F.col("date.source").alias("date_source"), "unusable", F.col("browser.needed").alias("needs_browser"), "quality.prose_ratio", F.size("warnings").alias("n_warnings"))
