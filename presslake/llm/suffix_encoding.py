@@ -20,6 +20,8 @@ from .pieces import MARK, UNKNOWN, Vocabulary, pre_tokens
 
 #: Pre-tokens a worker remembers before it starts afresh.
 _MEMORY = 300_000
+#: Pairs of pieces a worker remembers the agreement of.
+_PAIRS = 600_000
 #: Pre-tokens indexed together: a bound of memory, each is looked up among all pieces in any case.
 _INDEXED = 30_000
 _BORDER = 0x110000
@@ -87,11 +89,11 @@ class Encoder:
         for value, i in enumerate(vocabulary.byte_ids):
             spelt[i] = bytes([value])
         self.spelt = spelt
+        self.known: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.known: dict[int, bool] = {}
         self.flat, self.starts, self.lengths = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,6 +149,8 @@ class Encoder:
         """Vocabulary.agrees of each pair, asked once for each distinct pair. An edge from the start of a word has last _START."""
         width = len(self.vocabulary.pieces) + 2
         keys, inverse = np.unique((last + 2) * width + ids + 2, return_inverse=True)
+        if len(self.known) > _PAIRS:
+            self.known.clear()
         known, agrees = self.known, self.vocabulary.agrees
         answers = np.empty(len(keys), dtype=bool)
         for i, key in enumerate(keys.tolist()):
