@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dates, text
+from ..functions import dates, text, windows
 from ..sources.pages import META_DATES
 
 # ---- fixed values
@@ -53,13 +53,13 @@ def needs_browser(body: Column, scripts: Column, wall: Column | None = None) ->
     return F.struct((low & ~walled).alias("needed"), F.when(walled, F.concat(F.lit("wall: "), F.coalesce(wall, F.lit("")) if wall is not None else F.lit(""))).when(low, F.lit("low text yield")).alias("reason"))
 
 
-def unusable(headline: Column, body: Column, date: Column) -> Column:
-    """The first reason why a record can't be used, NULL if it can."""
+def unusable(headline: Column, body: Column, date: Column, best: Column) -> Column:
+    """The first reason why a record can't be used, NULL if it can. best: the prose ratio of the body's best window."""
     return (
         F.when(F.coalesce(headline, F.lit("")) == "", "extract_no_headline")
         .when(F.length(F.coalesce(body, F.lit(""))) < MIN_BODY, "extract_body_too_short")
         .when(date.isNull(), "extract_no_date")
-        .when(text.prose_ratio(body) < text.CHROME_BELOW, "extract_body_is_chrome")
+        .when(best < text.CHROME_BELOW, "extract_body_is_chrome")
     )
 
 
@@ -89,9 +89,10 @@ def records(facts: DataFrame, as_of: datetime) -> DataFrame:
     # named columns in steps keep the expressions small: each is used several times by the next
     out = out.withColumn("_dates", F.array(*found))
     out = out.withColumn("date", dates.resolve(c("_dates"), F.coalesce(c("jsonld.weak_only"), F.lit(False))))
-    out = out.withColumn("unusable", unusable(c("headline"), c("body_clean"), c("date.value")))
+    out = out.withColumn("_best", windows.best_prose_ratio(c("body_clean")))
+    out = out.withColumn("unusable", unusable(c("headline"), c("body_clean"), c("date.value"), c("_best")))
     second = text.overlap(F.coalesce(c("body"), F.lit("")), F.coalesce(c("body_second"), F.lit("")))
-    quality = F.struct(text.prose_ratio(c("body_clean")).alias("prose_ratio"), now.alias("coherence"), second.alias("second_overlap"), F.length("body_clean").alias("body_len"))
+    quality = F.struct(c("_best").alias("prose_ratio"), now.alias("coherence"), second.alias("second_overlap"), F.length("body_clean").alias("body_len"))
     warnings = F.array_compact(F.array(F.when(second < 0.5, F.lit("extractors disagree")), F.when(c("date.disagreement_days").isNotNull(), F.lit("date sources disagree")), F.when(c("jsonld.weak_only"), F.lit("only weak structured data"))))
     language = F.lower(F.substring(F.coalesce(c("jsonld.language"), meta("og:locale")), 1, 2))
     return out.select("page_id", "url", "headline", "headline_source", c("body_clean").alias("body"), c("_body.source").alias("body_source"), "date", language.alias("language"), quality.alias("quality"), warnings.alias("warnings"), "unusable", needs_browser(c("body"), c("scripts")).alias("browser"))

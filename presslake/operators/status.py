@@ -136,3 +136,13 @@ def to_json(rows: DataFrame) -> DataFrame:
 
 def recent_since(now: datetime) -> Column:
     return F.lit(now) - F.expr(f"INTERVAL {RECENT_DAYS} DAYS")
+
+
+def html(grid: DataFrame, title: str = "Agency status", most: int = 20_000) -> str:
+    """A page that shows the grid by itself: the rows as JSON in a script element, `</` escaped. A report for people: beyond `most` rows it refuses."""
+    rows = [r.json for r in to_json(order(grid)).limit(most + 1).collect()]
+    if len(rows) > most:
+        raise ValueError(f"over {most} rows; filter the grid first")
+    data = ("[" + ",".join(rows) + "]").replace("</", "<\\/")
+    show = "const t=document.querySelector('table');for(const r of JSON.parse(document.getElementById('rows').textContent)){const l=t.insertRow();for(const k of ['severity','health','a_id','domain','articles','reason'])l.insertCell().textContent=r[k]}"
+    return f"<!doctype html><meta charset=utf-8><title>{title}</title><table></table><script type=application/json id=rows>{data}</script><script>{show}</script>"

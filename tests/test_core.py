@@ -251,3 +251,15 @@ def test_validation_and_waves(spark):
 def test_entry_and_contract(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_best_window_and_html(spark):
+    from presslake.functions import windows
+
+    prose = "This is a long line of prose that goes on and on until it ends here. " * 3
+    release = "\n".join([prose] * 10 + [f"Signatory {i}" for i in range(140)])
+    got = values(spark, [(release,), ("Home\nNews",), (None,)], "body string", got=windows.best_prose_ratio(F.col("body")), nav=windows.looks_like_navigation(F.col("body")), plain=text.prose_ratio(F.col("body")))
+    assert got[0].got > 0.8 > got[0].plain and [r.nav for r in got] == [False, True, True]
+    assert windows.ratio(prose) == spark.createDataFrame([(prose,)], "b string").select(text.prose_ratio(F.col("b"))).first()[0]
+    grid = spark.createDataFrame([(1, "d</script>", "u", "ok", "healthy", "r", 3)], "a_id int, domain string, newsroom_url string, severity string, health string, reason string, articles int")
+    assert "d<\\/script>" in status.html(grid)
