@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import additive_search, language, minhash, mixing, page_text, pieces, secrets, suffix_encoding, toxicity, trie_counts
+from . import additive_search, chroma, language, minhash, mixing, page_text, pieces, secrets, suffix_encoding, toxicity, trie_counts
 from .common import read
 
 #: A public vocabulary; read on the driver only.
@@ -18,6 +18,11 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"))
 
 
+def op2_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no sound, so each vector is rendered as a recording."""
+    return chroma.fingerprints(chroma.render(read(spark, sf_dir, "embeddings")))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -54,6 +59,6 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scans, op3_mixing, op4_toxicity, op5_html_extraction, op6_language_id, op7_sentencepiece, op8_minhash_near_dedup, op9_token_counts, op10_ann)
+    for f in (op1_secret_scans, op2_chroma_fingerprints, op3_mixing, op4_toxicity, op5_html_extraction, op6_language_id, op7_sentencepiece, op8_minhash_near_dedup, op9_token_counts, op10_ann)
 }
 ORACLE_SQL = {"op1_secret_scans": secrets.SQL, "op3_mixing": mixing.SQL, "op8_minhash_near_dedup": minhash.SQL, "op10_ann": additive_search.SQL}
