@@ -20,7 +20,7 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables hold no sound, so each vector is rendered as a recording."""
-    return chroma.fingerprints(chroma.render(read(spark, sf_dir, "embeddings")))
+    return chroma.matched(chroma.fingerprints(chroma.render(read(spark, sf_dir, "embeddings"))))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,3 +21,27 @@ def test_odd_rows(spark):
     out = chroma.fingerprints(chroma.render(table)).collect()
     assert len(out) == 6 and all(r.n_items == len(r["items"]) for r in out) and {r.rec_id: r.n_items for r in out}[1] == 0
     assert len({r.sha256 for r in out if r.rec_id == 4}) == 1 and chroma.fingerprints(chroma.render(table.limit(0))).count() == 0
+
+
+def test_matches_equal_the_alignment_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(chroma, "AT_ONCE", 500)  # recordings of more pairs than that go in parts
+    rnd = np.random.default_rng(4)
+    sounds = [chroma.tones(rnd.normal(size=90) / 8) for _ in range(12)]
+    sounds += [sounds[0][chroma.HOP * 20 :], sounds[1] + rnd.normal(size=len(sounds[1])) * 0.01, np.zeros(9000), np.zeros(12000), sounds[2]]
+    items = [chroma.fingerprint(x) for x in sounds]
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(sounds)] + [(99, None)], "rec_id long, samples array<double>")
+    got = {r.rec_id: r for r in chroma.matched(chroma.fingerprints(table), group_items=300).collect()}
+    assert len(got) == 18 and (got[16].class_id, got[16].copies, got[2].copies) == (2, 2, 2) and got[99].class_id is None and got[99].matches == []
+    sha = lambda i: bytes.fromhex(got[i].sha256)
+    for i in range(16):
+        want = {}
+        for j in (j for j in range(16) if j != i):
+            one, two = (i, j) if sha(i) < sha(j) else (j, i)
+            if (found := chroma.align(items[one], items[two])) is None:
+                continue
+            shift, wrong = found
+            overlap = min(len(items[one]), len(items[two]) + shift) - max(0, shift)
+            if overlap >= min(chroma.LEAST, len(items[i]), len(items[j])) and wrong <= chroma.MOST_WRONG:
+                want[j] = (shift if one == i else -shift, round(wrong, 9))
+        assert {m.rec_id: (m.offset, round(m.wrong, 9)) for m in got[i].matches} == want
+    assert [m.offset for m in got[0].matches if m.rec_id == 12] == [20] and 13 in {m.rec_id for m in got[1].matches}
