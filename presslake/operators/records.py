@@ -103,10 +103,12 @@ def resolve(rows: DataFrame, existing: DataFrame) -> DataFrame:
     """rows with outcome (inserted or duplicate), filename and width against existing(filename, a_id, headline).
 
     One rung of tail widths after the other, six at most: a name that is free goes to the first claimant by
-    (published, url); the same agency and headline under that name is a duplicate; losers try the next width,
-    and are duplicates when a wider tail adds nothing. Claims are picked by pre-aggregating minima.
+    (published, url), then by the other columns; the same agency and headline under that name is a duplicate; losers try the next width,
+    and are duplicates when a wider tail adds nothing. Claims are picked by pre-aggregating minima. Rows equal in all
+    columns climb as one; each keeps its row, and all but one are duplicates.
     """
-    open_ = rows.withColumn("_key", F.struct("published", "url"))
+    columns = [c for c in rows.columns if c != "filename"]
+    open_ = rows.groupBy(*columns).agg(F.count("*").alias("_n")).withColumn("_key", F.struct("published", "url", *sorted({*columns} - {"published", "url"})))
     taken = existing.select("filename", "a_id", "headline")
     settled = None
     for rung, width in enumerate(TAIL_WIDTHS):
@@ -123,11 +125,12 @@ def resolve(rows: DataFrame, existing: DataFrame) -> DataFrame:
         outcome = F.when(won, "inserted").when(F.col("_spent") | F.coalesce(same, F.lit(False)) | F.lit(last), "duplicate")
         judged = judged.withColumn("outcome", outcome).withColumn("width", F.lit(width))
         judged = checkpointed(judged)  # each rung reads the last several times
-        done = judged.where("outcome IS NOT NULL").select(*[c for c in rows.columns if c != "filename"], "filename", "outcome", "width")
+        done = judged.where("outcome IS NOT NULL").select(*columns, "filename", "outcome", "width", "_n")
         settled = done if settled is None else settled.unionByName(done)
         taken = taken.unionByName(judged.where("outcome = 'inserted'").select("filename", "a_id", "headline"))
         open_ = judged.where("outcome IS NULL").select(*open_.columns)
-    return settled
+    each = settled.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    return each.withColumn("outcome", F.when(F.col("_copy") == 1, F.col("outcome")).otherwise("duplicate")).drop("_n", "_copy")
 
 
 def coverage(wanted: DataFrame, agencies: DataFrame) -> DataFrame:

@@ -403,7 +403,7 @@ def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def wire_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """REC9, REC10: filename collisions settled rung by rung."""
-    rows = _built(spark, sf_dir).where("reject_reason IS NULL").dropDuplicates(["url", "published", "a_id"])
+    rows = _built(spark, sf_dir).where("reject_reason IS NULL")
     none = rows.select("filename", "a_id", "headline").limit(0)
     return records.resolve(rows.select("a_id", "url", "published", "prefix", "headline", "headline_full"), none).select("a_id", "url", "published", "filename", "outcome", "width")
 
