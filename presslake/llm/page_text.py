@@ -167,7 +167,8 @@ def main_text(own: list[tuple[int, str]], *others: list[tuple[int, str]]) -> str
     gone = {i for i in gone if own[i][0] != MAIN}
     left = [(zone, text) for i, (zone, text) in enumerate(own) if zone != FRAME and i not in gone]
     main = [text for zone, text in left if zone == MAIN]
-    return "\n".join(main or [text for _, text in left])
+    # where neighbours share all there is (copies), the lines that aren't frame by markup stay
+    return "\n".join(main or [text for _, text in left] or [text for zone, text in own if zone != FRAME])
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -195,7 +196,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text (blocks joined by newlines, empty if none) and n_chars of each page.
 
     Null or empty html gives empty text; a null url counts as an empty one (its pages are neighbours); null ids stay;
-    repeated rows each give a row; an empty table gives none; other columns are not read. A page without a
+    repeated rows each give a row; neighbours of equal lines are differenced as one page; an empty table gives none; other columns are not read. A page without a
     neighbour on its host, or alone between two borders, keeps all lines that markup doesn't rule out.
     """
     pages = pages.select(pages["page_id"].cast("long").alias("page_id"), "url", "html")
@@ -214,8 +215,9 @@ def extract(pages: DataFrame) -> DataFrame:
     dealt = rows.repartition("stretch").sortWithinPartitions("stretch", "host", "path", "url", "page_id", "lines")
 
     def paired(batches):
-        """A window of three neighbours slides over the sorted rows."""
+        """A window of three neighbours slides over the sorted rows; a run of pages of equal lines is one neighbour."""
         before = here = None
+        run: list[tuple] = []  # page_id and url of the pages that are as `here`
         out: list[tuple] = []
 
         def read(row):
@@ -225,7 +227,7 @@ def extract(pages: DataFrame) -> DataFrame:
         def text_of(before, here, after):
             others = [x[3] for x in (before, after) if x is not None and x[0] == here[0]]
             text = main_text(here[3], *others)
-            return here[1], here[2], text, len(text)
+            return [(page_id, url, text, len(text)) for page_id, url in run]
 
         def emitted():
             batch = pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), EXTRACTED, strict=True)], schema=EXTRACTED)
@@ -236,13 +238,16 @@ def extract(pages: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 for row in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
                     after = read(row)
+                    if here is not None and (after[0], after[3]) == (here[0], here[3]):
+                        run.append(after[1:3])
+                        continue
                     if here is not None:
-                        out.append(text_of(before, here, after))
-                    before, here = here, after
+                        out += text_of(before, here, after)
+                    before, here, run = here, after, [after[1:3]]
                 if out:
                     yield emitted()
         if here is not None:
-            out.append(text_of(before, here, None))
+            out += text_of(before, here, None)
             yield emitted()
 
     from pyspark.sql.pandas.types import from_arrow_schema
