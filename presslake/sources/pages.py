@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 # ---- fixed values: vocabularies of structured data and landmarks
 ARTICLE_TYPES = {"article", "newsarticle", "reportagenewsarticle", "analysisnewsarticle", "opinionnewsarticle", "backgroundnewsarticle", "reviewnewsarticle", "blogposting", "liveblogposting", "report", "pressrelease", "scholarlyarticle"}
 WEAK_TYPES = {"webpage", "itempage", "collectionpage", "aboutpage", "creativework"}
-HEADLINE_KEYS, DATE_KEYS = ("headline", "name"), ("datePublished", "dateCreated", "uploadDate")
+HEADLINE_KEYS, DATE_KEYS = ("headline", "name", "alternativeHeadline"), ("datePublished", "dateCreated", "uploadDate", "datePosted")
 META_DATES = ("article:published_time", "article:published", "og:article:published_time", "datepublished", "publish-date", "publication_date", "date", "dc.date", "dcterms.created", "sailthru.date")
 CHROME_TAGS, CHROME_ROLES = {"nav", "header", "footer", "aside"}, {"navigation", "banner", "contentinfo", "complementary", "search", "menu"}
 BLOCKS = {"p", "div", "section", "article", "main", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "table", "tr", "td", "th", "dl", "dt", "dd", "figure", "figcaption", "br", "hr", "body", "nav", "header", "footer", "aside", "form"}
@@ -119,12 +119,13 @@ def _first(value) -> str | None:
 
 def jsonld_facts(blocks: list[str]) -> dict:
     """What structured data says: articles first, pages in general only as a weak answer. Broken blocks are skipped."""
-    strong, weak, types, seen = [], [], [], 0
+    strong, weak, types = [], [], []
     for block in blocks:
         try:
             todo = [json.loads(block)]
         except ValueError:
             continue
+        seen = 0
         while todo and seen < MAX_NODES:
             node = todo.pop()
             seen += 1
