@@ -35,6 +35,14 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def spread(data: bytes, size: int, pieces: int = 4) -> bytes:
+    """size bytes of data in pieces from its beginning to its end; all of it if it is no longer."""
+    if len(data) <= size or size < pieces:
+        return data[: max(0, size)]
+    step = size // pieces
+    return b"".join(data[at : at + step] for at in ((len(data) - step) * i // (pieces - 1) for i in range(pieces)))
+
+
 class CompressionClassifier:
     """languages, the commonest first, and their dictionaries; picklable, per language at most dictionary_bytes."""
 
@@ -67,7 +75,7 @@ class CompressionClassifier:
 
 
 def train(docs: DataFrame, per_language: int = 300, dictionary_bytes: int = 300_000, **options) -> CompressionClassifier:
-    """Learns from text and non-null lang of rows that are not held out; each text gives an equal share of its dictionary."""
+    """Learns from text and non-null lang of rows that are not held out; each text gives pieces of up to an equal share of dictionary_bytes."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = known.select("doc_id", "lang").withColumn("_n", F.row_number().over(by_hash)).where(F.col("_n") <= per_language).select("doc_id").distinct()
@@ -77,8 +85,8 @@ def train(docs: DataFrame, per_language: int = 300, dictionary_bytes: int = 300_
     dictionaries = {}
     for lang, own in sorted(rows.groupby("lang"), key=lambda x: (-counts[x[0]], x[0])):
         texts = [letters(t) for t in own["text"] if _LETTER.search(t)]
-        share = max(2048, dictionary_bytes // max(1, len(texts)))
-        content = b"\n".join(t[:share] for t in texts)[-dictionary_bytes:]
+        share = dictionary_bytes // max(1, len(texts)) - 1  # a line end goes with each
+        content = b"\n".join(spread(t, share) for t in texts)
         if len(content) >= 8:
             dictionaries[lang] = content
     return CompressionClassifier(dictionaries, **options)
