@@ -10,17 +10,20 @@ The alignment decides all other lines: those outside such elements, and those wh
 frame (a header inside an article, a class such as `share-price`). A pair that shares nearly
 all it has is a pair of copies and tells nothing, but for lines that the page shares with both its neighbours.
 
-Shape: one pass parses; rows are dealt by range of (host, path, url, page_id) and sorted, so a host of any size is
-spread over many tasks. Pages at the edges of a task meet their neighbours in a second pass over the edges alone (four
-pages of a task), so the pairing is a function of the table and not of how it was dealt.
+Shape: one pass parses; rows are dealt by stretches of the order (host, path, url, page_id) and sorted, so a host of any
+size is spread over many tasks. Pages at the edges of a stretch meet their neighbours in a second pass over the edges
+alone (four pages a stretch), so the pairing is a function of the table and not of where it was cut.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 import xxhash
@@ -30,8 +33,8 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from .common import map_batches
 
-#: Input bytes for each task of the pairing; a share of what a page holds beyond which a pair is one of copies.
-TASK_BYTES, COPIES_SHARE = 128 << 20, 0.8
+#: Input bytes for each stretch, the most stretches, and urls sampled for each; a share of what a page holds beyond which a pair is one of copies.
+STRETCH_BYTES, MOST_STRETCHES, SAMPLED, COPIES_SHARE = 64 << 20, 65_536, 8, 0.8
 
 # ---- fixed values of HTML: element kinds
 _RAW = {"script", "style", "title", "textarea", "iframe", "xmp", "noembed", "noframes"}
@@ -176,7 +179,7 @@ def lines(page: str | None) -> list[tuple[int, str]]:
             end = rest.end() - 1
         attrs, at = page[m.end() : end], end + 1
         if closing:
-            if name not in _INLINE and name not in _HIDDEN:
+            if name not in _INLINE and name not in _HIDDEN and not hidden:
                 flush()
             if opened[name]:
                 while pop() != name:
@@ -185,7 +188,7 @@ def lines(page: str | None) -> list[tuple[int, str]]:
         if stack and stack[-1][0] == "head" and name not in _HEAD:
             pop()
         if name in _RAW:
-            if name not in ("script", "style"):
+            if name not in ("script", "style") and not hidden:
                 flush()
             if name not in unclosed:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
@@ -196,7 +199,7 @@ def lines(page: str | None) -> list[tuple[int, str]]:
                 else:
                     unclosed.add(name)
             continue
-        block = name not in _INLINE and name not in _HIDDEN
+        block = name not in _INLINE and name not in _HIDDEN and not hidden
         if block:
             flush()
         if name in _VOID or (attrs and _SELF_CLOSED.search(attrs)):
@@ -307,7 +310,7 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 Line = tuple[int, str]
-_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("name", pa.binary()), ("zones", pa.binary()), ("lines", pa.string())])
+_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("stretch", pa.int32()), ("name", pa.binary()), ("zones", pa.binary()), ("lines", pa.string())])
 _ORDER = ("host", "path", "url", "page_id", "name")
 _EDGE = pa.schema([*(_PARSED.field(c) for c in (*_ORDER, "zones", "lines")), ("edge", pa.binary())])
 _EDGE_PAGE = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("edge", pa.binary())])
@@ -321,31 +324,32 @@ class _Run:
     __slots__ = ("key", "path", "zones", "text", "pages")
 
     def __init__(self, host: str, name: bytes, path: str, zones: bytes, text: str) -> None:
-        self.key, self.path, self.zones, self.text, self.pages = (host, name), path, zones, text, []
+        self.key, self.path, self.zones, self.text = (host, name), path, zones, text
+        self.pages: list[tuple[int | None, str | None]] = []
 
     def lines(self) -> list[Line]:
         return list(zip(self.zones, self.text.split("\n"), strict=True)) if self.zones else []
 
 
-def _runs(batches) -> Iterator[_Run]:
-    """The runs of sorted rows; the ids of a run are held, its lines once."""
-    run = None
+def _runs(batches) -> Iterator[tuple[int, _Run]]:
+    """(stretch, run) of sorted rows; the ids of a run are held, its lines once."""
+    run, here = None, -1
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            ids, urls, hosts, names = (part.column(c).to_pylist() for c in ("page_id", "url", "host", "name"))
+            ids, urls, hosts, names, stretches = (part.column(c).to_pylist() for c in ("page_id", "url", "host", "name", "stretch"))
             for i, key in enumerate(zip(hosts, names, strict=True)):
-                if run is None or run.key != key:
+                if run is None or run.key != key or stretches[i] != here:
                     if run is not None:
-                        yield run
-                    run = _Run(*key, *(part.column(c)[i].as_py() for c in ("path", "zones", "lines")))
+                        yield here, run
+                    run, here = _Run(*key, *(part.column(c)[i].as_py() for c in ("path", "zones", "lines"))), stretches[i]
                 run.pages.append((ids[i], urls[i]))
     if run is not None:
-        yield run
+        yield here, run
 
 
 def _edge(run: _Run, last: bool) -> bytes:
-    """Names an edge by the first page of its run: pages that are the same in all that orders them are in one task."""
+    """Names an edge by the first page of its run: pages that are the same in all that orders them are in one stretch."""
     return xxhash.xxh3_128_digest(repr((run.key, run.path, run.pages[0], last)).encode("utf-8", "surrogatepass"))
 
 
@@ -371,59 +375,63 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 256) -> Itera
 
 
 def _inner(batches):
-    """Final rows of all runs but the first and the last of a task."""
+    """Final rows of all runs but the first and the last of each stretch."""
 
     def rows():
-        before = here = None
-        for after in _runs(batches):
-            if before is not None:
-                text = _text(before, here, after)
-                yield from ((page_id, url, text, len(text)) for page_id, url in here.pages)
-            before, here = here, after
+        for _, runs in groupby(_runs(batches), key=itemgetter(0)):
+            before = here = None
+            for _, after in runs:
+                if before is not None:
+                    text = _text(before, here, after)
+                    yield from ((page_id, url, text, len(text)) for page_id, url in here.pages)
+                before, here = here, after
 
     return _batches(rows(), EXTRACTED)
 
 
 def _edge_runs(batches):
-    """The first two and the last two runs of a task; the first and the last bear the name of their edge."""
+    """The first two and the last two runs of each stretch; the first and the last bear the name of their edge."""
 
     def rows():
-        head: list[_Run] = []
-        tail: list[_Run] = []
-        for run in _runs(batches):
-            if len(head) < 2:
-                head.append(run)
-            else:
-                tail = [*tail, run][-2:]
-        found = head + tail
-        for n, run in enumerate(found):
-            page_id, url = run.pages[0]
-            edge = _edge(run, n > 0) if n in (0, len(found) - 1) else None
-            yield run.key[0], run.path, url, page_id, run.key[1], run.zones, run.text, edge
+        for _, runs in groupby(_runs(batches), key=itemgetter(0)):
+            head: list[_Run] = []
+            tail: list[_Run] = []
+            for _, run in runs:
+                run.pages = run.pages[:1]
+                if len(head) < 2:
+                    head.append(run)
+                else:
+                    tail = [*tail, run][-2:]
+            found = head + tail
+            for n, run in enumerate(found):
+                page_id, url = run.pages[0]
+                edge = _edge(run, n > 0) if n in (0, len(found) - 1) else None
+                yield run.key[0], run.path, url, page_id, run.key[1], run.zones, run.text, edge
 
     return _batches(rows(), _EDGE)
 
 
 def _edge_pages(batches):
-    """The pages of a task's first and last run, with the name of their edge."""
+    """The pages of each stretch's first and last run, with the name of their edge."""
 
     def rows():
-        first = last = None
-        for run in _runs(batches):
-            if first is None:
-                first = run
-                edge = _edge(run, False)
-                yield from ((*page, edge) for page in run.pages)
-            last = run
-        if last is not first:
-            edge = _edge(last, True)
-            yield from ((*page, edge) for page in last.pages)
+        for _, runs in groupby(_runs(batches), key=itemgetter(0)):
+            first = last = None
+            for _, run in runs:
+                if first is None:
+                    first = run
+                    edge = _edge(run, False)
+                    yield from ((*page, edge) for page in run.pages)
+                last = run
+            if last is not first:
+                edge = _edge(last, True)
+                yield from ((*page, edge) for page in last.pages)
 
     return _batches(rows(), _EDGE_PAGE, 4096)
 
 
 def _edge_texts(batches):
-    """The text of each edge, with its neighbours across tasks: one walk over the sorted edges of all tasks."""
+    """The text of each edge, with its neighbours in other stretches: one walk over the sorted edges."""
 
     def rows():
         before = here = None
@@ -445,33 +453,48 @@ def _edge_texts(batches):
     return _batches(rows(), _EDGE_TEXT)
 
 
-def extract(pages: DataFrame, tasks: int | None = None) -> DataFrame:
+def _place(url: str | None, page_id: int | None) -> tuple:
+    """Where a page stands; as Spark orders host, path, url and page_id, nulls first."""
+    return (*split_url(url), url is not None, url or "", page_id is not None, page_id or 0)
+
+
+def _borders(pages: DataFrame, stretches: int) -> list[tuple]:
+    """About stretches - 1 places that part the pages evenly: every SAMPLED-th of a sample by hash of url and page_id."""
+    wanted = stretches * SAMPLED
+    every = max(1, pages.count() // wanted)
+    drawn = pages.select("url", "page_id").where(F.pmod(F.xxhash64("url", "page_id"), F.lit(every)) == 0).distinct()
+    places = sorted(_place(r["url"], r["page_id"]) for r in drawn.limit(2 * wanted).collect())  # 2 * SAMPLED * MOST_STRETCHES at most
+    return places[SAMPLED::SAMPLED]
+
+
+def extract(pages: DataFrame, stretches: int | None = None) -> DataFrame:
     """page_id, url, text (blocks joined by newlines, empty if none) and n_chars of each page.
 
     Null or empty html gives empty text; a null url counts as an empty one (its pages are neighbours); null ids stay;
     repeated rows each give a row; neighbours of equal lines are differenced as one page; an empty table gives none; other columns are
     not read. A page without a neighbour on its host keeps all lines that markup doesn't rule out. The result is the same
-    for any number of tasks (by default one for each TASK_BYTES of the input, the session's shuffle partitions at least).
+    for any number of stretches (by default one for STRETCH_BYTES of the input, the session's shuffle partitions at least).
     """
     spark = pages.sparkSession
     pages = pages.select(pages["page_id"].cast("long").alias("page_id"), "url", "html")
-    if tasks is None:
+    if stretches is None:
         size = int(str(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // TASK_BYTES, 100_000))
+        stretches = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // STRETCH_BYTES), MOST_STRETCHES)
+    borders = spark.sparkContext.broadcast(_borders(pages, stretches))  # MOST_STRETCHES urls at most
 
     def parsed():
         def f(batch):
-            urls, found = batch.column(1).to_pylist(), [lines(p) for p in batch.column(2).to_pylist()]
-            keys = [split_url(u) for u in urls]
+            ids, urls, found = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [lines(p) for p in batch.column(2).to_pylist()]
+            places = [_place(u, i) for u, i in zip(urls, ids, strict=True)]
+            stretch = [bisect_right(borders.value, p) for p in places]
             zones, texts = [bytes(z for z, _ in x) for x in found], ["\n".join(t for _, t in x) for x in found]
             names = [xxhash.xxh3_128_digest(z + b"\n" + t.encode("utf-8", "surrogatepass")) for z, t in zip(zones, texts, strict=True)]
-            return [batch.column(0), batch.column(1), [k[0] for k in keys], [k[1] for k in keys], names, zones, texts]
+            return [batch.column(0), batch.column(1), [p[0] for p in places], [p[1] for p in places], stretch, names, zones, texts]
 
         return f
 
-    # the number of tasks is given: adaptive execution then joins none of them, and all passes see the same edges
-    dealt = map_batches(pages, _PARSED, parsed).repartitionByRange(tasks, *_ORDER).sortWithinPartitions(*_ORDER)
-    edges = dealt.mapInArrow(_edge_runs, from_arrow_schema(_EDGE)).repartition(1).sortWithinPartitions(*_ORDER)  # four pages a task
+    dealt = map_batches(pages, _PARSED, parsed).repartition("stretch").sortWithinPartitions("stretch", *_ORDER)
+    edges = dealt.mapInArrow(_edge_runs, from_arrow_schema(_EDGE)).repartition(1).sortWithinPartitions(*_ORDER)  # four pages a stretch
     texts = edges.mapInArrow(_edge_texts, from_arrow_schema(_EDGE_TEXT))
     at_edge = dealt.mapInArrow(_edge_pages, from_arrow_schema(_EDGE_PAGE)).join(texts, "edge").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
     return dealt.mapInArrow(_inner, from_arrow_schema(EXTRACTED)).unionAll(at_edge)

@@ -31,13 +31,13 @@ def plain(page):
     return re.sub(r"<(/?)(?:article|nav|footer)>", r"<\1div>", page).replace(' class="ad"', "")
 
 
-@pytest.mark.parametrize("tasks", [1, 5, 60])
-def test_pairing_equals_brute_force_for_any_number_of_tasks(spark, tasks):
+@pytest.mark.parametrize("stretches", [1, 5, 60])
+def test_pairing_equals_brute_force_for_any_number_of_stretches(spark, stretches):
     real = [(r.page_id, r.url, plain(r.html)) for r in spark.read.parquet(REAL).collect()]
-    rows = real + [(1000 + i, "http://one.org/x", "<p>Same frame</p><p>same story</p>") for i in range(40)]  # a run that fills tasks of its own
+    rows = real + [(1000 + i, "http://one.org/x", "<p>Same frame</p><p>same story</p>") for i in range(40)]  # a run that fills stretches of its own
     rows += [(2000 + i, None, f"<p>Top</p><p>own text {i // 2}</p>") for i in range(9)] + [(3000, "http://alone.org/", "<p>a</p>"), (3001, "http://x.org/", None)]
     table = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, lines string")
-    assert {r.page_id: r.text for r in page_text.extract(table, tasks).collect()} == brute(rows)
+    assert {r.page_id: r.text for r in page_text.extract(table, stretches).collect()} == brute(rows)
 
 
 def test_alignment_decides_on_real_pages_in_plain_markup(spark):
