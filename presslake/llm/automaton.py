@@ -205,7 +205,7 @@ def compile_rules(trees: list, backwards: bool = False, anywhere: bool = False)
                 todo.append(to)
             row.append(names[to])
         rows.append(row)
-    accepts = np.array([sum(1 << k for k in {finals[s] for s in subset if s in finals}) for subset in todo], dtype=np.int64)
+    accepts = np.array([sum(1 << k for k in {finals[s] for s in subset if s in finals}) for subset in todo], dtype=np.int64 if len(trees) < 63 else object)
     return _minimal(classes, np.array(rows, dtype=np.int32).reshape(len(todo), len(samples)), accepts)
 
 

@@ -72,27 +72,34 @@ class Scanner:
         if "_rows" not in self.__dict__:
             width = self.starts.next.shape[1]
             kinds = sorted(set(self.starts.accepts.tolist()) - {0})
-            if width + len(kinds) > 255:
-                raise ValueError("too many combinations of rules")
             rows: list[list] = [[] for _ in self.starts.accepts]
             for row, to, bits in zip(rows, self.starts.next.tolist(), self.starts.accepts.tolist(), strict=True):
                 row.extend(rows[t] for t in to)
                 row.extend([None] * (kinds.index(bits) + 1 if bits else 0))
             self._rows, self._width, self._kinds = rows, width, kinds
-            self._hit = re.compile(b"[^" + re.escape(bytes([width])) + b"]")
+            self._hit = re.compile(b"[^" + re.escape(bytes([width])) + b"]") if width + len(kinds) < 256 else None
         return self._rows[0]
 
+    def _marked(self, data: bytes):
+        """(place, row length) wherever, reading backwards, a state accepts; lengths that fit no byte are numbers of four."""
+        lengths = map(len, accumulate(data.translate(self.starts.classes)[::-1], operator.getitem, initial=self._ready()))
+        if self._hit is not None:
+            marks = bytes(lengths)
+            return ((m.start(), marks[m.start()]) for m in self._hit.finditer(marks))
+        marks = np.fromiter(lengths, np.int32, len(data) + 1)
+        places = np.flatnonzero(marks != self._width)
+        return zip(places.tolist(), marks[places].tolist(), strict=True)
+
     def spans(self, text: str) -> list[tuple[int, str, int]]:
         """(start, kind, end) of all kept matches in code points, by start and then by the order of the rules."""
-        first = self._ready()
+        self._ready()
         data = text.encode("utf-8", "surrogatepass")
-        marks = bytes(map(len, accumulate(data.translate(self.starts.classes)[::-1], operator.getitem, initial=first)))
         hits: list[list[int]] = [[] for _ in self.rules]
-        for m in self._hit.finditer(marks):
-            bits = self._kinds[marks[m.start()] - self._width - 1]
+        for place, mark in self._marked(data):
+            bits = self._kinds[mark - self._width - 1]
             for k in range(len(self.rules)):
                 if bits >> k & 1:
-                    hits[k].append(len(data) - m.start())
+                    hits[k].append(len(data) - place)
         found = []
         for k, (rule, starts) in enumerate(zip(self.rules, hits, strict=True)):
             behind = 0
