@@ -51,10 +51,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def _set_checkpoint_dir(spark: SparkSession) -> None:
-    """The session's setting is taken; a folder of our own is set only where there is none, as in tests."""
+    """The session's setting is taken; a folder of our own is set only on one machine, as in tests."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="presslake-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="presslake-"))
 
 
 def join_on(left: DataFrame, right: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
@@ -63,8 +66,14 @@ def join_on(left: DataFrame, right: DataFrame, *keys: str, how: str = "inner") -
     return left.join(right, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys], how).drop(*[f"_right_{k}" for k in keys])
 
 
+def nested(docs: DataFrame, name: str = "row") -> DataFrame:
+    """docs as one column, so that no helper column beside it can clash with theirs."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias(name))
+
+
 class Scratch:
-    """Tables written to the shared checkpoint folder, in place of lineage; clear() removes them again."""
+    """Tables written to the shared checkpoint folder, in place of lineage. clear() removes them; what a result
+    still reads goes when the driver ends."""
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
@@ -77,8 +86,14 @@ class Scratch:
         path = f"{self.root}/{self.n}"
         self.n += 1
         df.write.parquet(path)
+        if self.n == 1:
+            root = self._path()
+            root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(root)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _path(self):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+
     def clear(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path = self._path()
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,6 +1,6 @@
 """Mixing sources to target weights, DataFrame functions only.
 
-Each document gets a hash-random key. Sources are cut at their budgets by prefix sums over that order,
+Each document gets a hash-random key (of its id and its text, so that repeated or null ids are no hot key). Sources are cut at their budgets by prefix sums over that order,
 taken at three levels of the key (first digits, more digits, the rows themselves), so that no window
 holds a whole source: a source of any size is dealt over 65,536 leaf groups. Only the id, the source,
 the size and the key are shuffled, never the text.
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, join_on
+from .common import WORD, join_on, nested
 
 #: Hex digits of the key that name the upper and the leaf groups.
 UPPER, LEAF = 2, 4
@@ -45,14 +45,20 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: fl
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 0, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """doc_id, source, size, source_size, target and taken (words the mix takes of the row, repeats counted).
 
-    A source's order is that of md5(seed:doc_id), then doc_id and size; it is repeated for whole epochs
+    A source's order is that of md5(seed:doc_id:md5(text)), then doc_id and size; it is repeated for whole epochs
     while they fit, then taken from the front to the exact word, so that taken sums to floor(target) and
     a rerun gives the same. No row's taken passes `most` (rounded up) times its size. Null text has size 0
-    and takes 0; a null source is a source of its own, the last; null ids share one key, ordered by size;
+    and takes 0; a null source is a source of its own, the last; null ids stay;
     equal rows are interchangeable; an empty table gives no rows; other columns are not read.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(docs[id_col].cast("string"), F.lit(""))).cast("binary"))
+    text = F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary"))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(docs[id_col].cast("string"), F.lit("")), F.lit(":"), text).cast("binary"))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].alias("source"), size(docs[text_col]).alias("size"), key.alias("_key"))
+    return _taken(rows, weights, share, most).drop("_key")
+
+
+def _taken(rows: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
+    """rows(doc_id, source, size, _key) with source_size, target and taken."""
     leaf, upper = F.substring("_key", 1, LEAF), F.substring("_key", 1, UPPER)
     rows = rows.withColumn("_leaf", leaf)
 
@@ -74,35 +80,45 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     left = budget - epochs * F.col("source_size")
     cut = F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("_at")))
-    return joined.select("doc_id", "source", "size", "source_size", "target", (epochs * F.col("size") + cut).cast("long").alias("taken"))
+    return joined.select("doc_id", "source", "size", "_key", "source_size", "target", (epochs * F.col("size") + cut).cast("long").alias("taken"))
 
 
-def apply_mix(docs: DataFrame, **options) -> DataFrame:
+def apply_mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
     """The mixed documents, with the columns of docs: a row for each whole time a document is taken, and
-    one cut to its first words where the budget ends inside it. Documents without words stay once.
+    one cut to its first words where the budget ends inside it.
 
-    Ids must be unique here, as they are in a corpus; rows of one id share what was taken of each.
+    Documents without words (null and empty texts too) stay once. Null ids and sources are as in mix. Rows that
+    are alike in every column are told apart by nothing, so what was taken of them all is dealt among them evenly; rows that share only
+    an id are documents of their own. Columns may have any names; n_chars is counted anew where text was cut. An empty table gives none.
     """
-    keys = ["doc_id", "source", "_size"]
-    taken = mix(docs, **options).withColumnRenamed("size", "_size").groupBy(*keys).agg(F.max("taken").alias("_taken"))
-    out = join_on(docs.withColumn("_size", size(F.col("text"))), taken, *keys)
-    whole = F.when(F.col("_size") == 0, 1).otherwise(F.floor(F.col("_taken") / F.col("_size")))
-    rest = F.when(F.col("_size") == 0, 0).otherwise(F.pmod(F.col("_taken"), F.col("_size")))
-    copies = F.concat(F.array_repeat(F.lit(0).cast("long"), whole.cast("int")), F.when(rest > 0, F.array(rest.cast("long"))).otherwise(F.array().cast("array<bigint>")))
-    out = out.withColumn("_words", F.explode(copies))
-    words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    whole = nested(docs)
+    row = F.col("row")
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(row["doc_id"].cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(row["text"], F.lit("")).cast("binary"))).cast("binary"))
+    # nulls are told from values: the hash passes over them
+    alike = F.xxhash64(row, *[row[c].isNull() for c in docs.columns]) if not any(t.startswith("map") for _, t in docs.dtypes) else F.xxhash64(F.to_json(row))
+    key = F.concat(key, F.hex(alike))
+    rows = whole.select("row", row["doc_id"].cast("long").alias("doc_id"), row["source"].alias("source"), size(row["text"]).alias("size"), key.alias("_key"))
+    sums = _taken(rows.drop("row"), weights, share, most).groupBy("_key").agg(F.sum("taken").alias("_sum"), F.count("*").alias("_rows"), F.any_value("size").alias("_size"))
+    out = rows.select("row", "_key").join(sums, "_key")
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))  # among rows alike in every column; dealt and sorted by the join
+    out = out.withColumn("_nth", nth)
+    full, rest = F.floor(F.col("_sum") / F.col("_size")), F.pmod("_sum", "_size")
+    own = F.floor(full / F.col("_rows")) + F.when(F.col("_nth") <= F.pmod(full, F.col("_rows")), 1).otherwise(0)
+    last = F.when((F.col("_nth") == F.col("_rows")) & (rest > 0), F.array(rest.cast("long"))).otherwise(F.array().cast("array<bigint>"))
+    copies = F.when(F.col("_size") == 0, F.array(F.lit(0).cast("long"))).otherwise(F.concat(F.array_repeat(F.lit(0).cast("long"), own.cast("int")), last))
+    out = out.select("row", F.explode(copies).alias("_words"))
+    words = F.regexp_extract_all(row["text"], F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     head = F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), "")
-    text = F.when(F.col("_words") > 0, head).otherwise(F.col("text"))
-    out = out.withColumn("_cut", text)
-    changed = {"text": F.col("_cut")} | ({"n_chars": F.when(F.col("_words") > 0, F.length("_cut").cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
-    return out.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    out = out.select("row", F.when(F.col("_words") > 0, head).alias("_cut"))
+    changed = {"text": F.coalesce("_cut", row["text"])} | ({"n_chars": F.coalesce(F.length("_cut").cast(dict(docs.dtypes)["n_chars"]), row["n_chars"])} if "n_chars" in docs.columns else {})
+    return out.select(*[changed.get(c, row[c]).alias(c) for c in docs.columns])
 
 
 #: DuckDB SQL of the query's rows.
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+         md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rk FROM s),
 w AS (SELECT *, CASE (rk - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight, source_size * 2.0::DOUBLE AS cap FROM r),
