@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, map_batches
+from .common import Scratch, map_batches, nested
 
 BANDS, ROWS = 45, 6
 #: Minima of which the sketch keeps a byte; a pair is dropped if fewer than SKETCH_LEAST agree: 6 standard deviations below the mean at 0.8.
@@ -130,7 +130,7 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
             for k in range(ROWS):
                 keys = _mixed(keys * _STEP + m[:, :, k].astype(np.uint64))
             bands = pa.ListArray.from_arrays(pa.array(np.arange(0, len(m) * BANDS + 1, BANDS), pa.int32()), pa.array(keys.ravel().view(np.int64)))
-            low = m.reshape(len(m), -1)[:, :SKETCH].astype(np.uint8)
+            low = m.reshape(len(m), BANDS * ROWS)[:, :SKETCH].astype(np.uint8)
             return [ids, counts, names, bands, [row.tobytes() for row in low]]
 
         return f
@@ -285,9 +285,21 @@ def near_duplicates(docs: DataFrame, width: int = 2, part: int = 80, whole: int
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
-    """docs with one document of each near-duplicate group; rows without words or id stay."""
-    kept = near_duplicates(docs, width).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_anti")
+    """docs with one document of each near-duplicate group (the one of the smallest id); columns as they were.
+
+    Rows without words or without an id stay. Of rows that repeat both id and text one stays, whichever (their other columns
+    may differ); rows that repeat an id with another text are one node of the graph, so they go or stay together. An empty table gives none.
+    """
+    gone = near_duplicates(docs, width).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    out = docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    repeated = docs.where(docs["doc_id"].isNotNull()).groupBy(docs["doc_id"].alias("_id")).count().where("count > 1").select("_id")
+    repeated = Scratch(docs.sparkSession).store(repeated)
+    if repeated.isEmpty():  # the usual case: ids are unique, and no row is looked at again
+        return out
+    many = out.join(repeated, out["doc_id"] == F.col("_id"), "left_semi")
+    words = F.coalesce(F.trim(many["text"]), F.lit("")) != ""
+    one = nested(many.where(words)).groupBy(F.col("row.doc_id"), F.xxhash64("row.text"), F.md5(F.col("row.text").cast("binary"))).agg(F.first("row").alias("row")).select("row.*")
+    return out.join(repeated, out["doc_id"] == F.col("_id"), "left_anti").unionByName(many.where(~words)).unionByName(one)
 
 
 #: DuckDB SQL of the query's rows: all pairs by inverted index, reachability by recursion.
