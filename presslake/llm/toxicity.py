@@ -1,10 +1,11 @@
 """Toxicity by cumulative-link ordinal regression over sparse text features.
 
-A text's features are its distinct words and their prefixes of 4, 5 and 6 letters. Severity grades are
-0 (not toxic), 1 (toxic) and 2 (toxic, with more distinct telling words than the median toxic text: the
-labels say only whether a text is toxic, so the step between 1 and 2 is drawn from the features). One
-weight vector serves all thresholds: P(grade > k) = sigmoid(w.x - b_k) with b_0 <= b_1; the expected
-severity is the sum over k.
+A text's features are its distinct words and their prefixes of 4, 5 and 6 letters. Severity grades come from the
+labels: 0 (not toxic), 1 (toxic) and 2 (toxic and of low quality as well); labels that give whole grades above 1 are
+taken as they are, and there are as many thresholds as grades above 0 occur in the sample. One
+weight vector serves all thresholds: P(grade > k) = sigmoid(w.x - b_k) with b_0 <= b_1 ...; the expected
+severity is the sum over k. Quality has little to do with words that make a text toxic, so the step from 1 to 2 is
+mostly the rate of low quality among toxic texts: a weak one, but one that the features had no part in making.
 
 The model is fitted on the driver on a bounded sample of labelled rows (`max_labelled`, those with the
 smallest hashes, so it is the same on every run). Scoring reads every whole text in one pass without a
@@ -14,6 +15,7 @@ shuffle; the model that travels holds at most `max_features` weights.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -49,19 +51,14 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(np.asarray(self.bounds)[None, :] - x[:, None], -50, 50)))
 
 
-def graded(sets: list[set[str]], toxic: np.ndarray, telling: set[str]) -> np.ndarray:
-    """0, 1 or 2 for each text; with all toxic texts alike, no 2 is given."""
-    found = np.array([len(s & telling) for s in sets])
-    return toxic + ((toxic > 0) & (found > np.median(found[toxic > 0]))).astype(int)
-
-
-def fit(texts: list[str], toxic: list[int], max_features: int = 4000, min_docs: int = 3, steps: int = 300, ridge: float = 2e-4) -> OrdinalModel:
+def fit(texts: list[str], grades: list[int], max_features: int = 4000, min_docs: int = 3, steps: int = 300, ridge: float = 2e-4) -> OrdinalModel:
     """Fits by full-batch gradient steps (Adam) on the cumulative-link likelihood.
 
     Features are those whose presence tells toxic from other texts best (likelihood ratio), at most max_features.
     With only toxic or only other texts there is nothing to tell apart: the model is empty and rejects nothing.
     """
-    y = np.asarray(toxic, dtype=int)
+    steps_up = sorted({g for g in grades if g > 0})  # grades that don't occur give no threshold
+    y = np.array([bisect_right(steps_up, g) for g in grades], dtype=int)
     if not (y > 0).any() or not (y == 0).any():
         return OrdinalModel()
     hot, cold = Counter(), Counter()
@@ -79,11 +76,9 @@ def fit(texts: list[str], toxic: list[int], max_features: int = 4000, min_docs:
     kept = [f for score, f in scored[:max_features] if score >= 12]
     if not kept:
         return OrdinalModel()
-    telling = {f for f in kept if hot[f] * n0 > cold[f] * n1 and f[-1] != "*"}
     del hot, cold, scored
     index = {f: i for i, f in enumerate(kept)}
     sets = [features(t) & index.keys() for t in texts]
-    y = graded(sets, y, telling)
     top = int(y.max())
     lengths = [sorted(map(index.__getitem__, s)) for s in sets]
     rows = np.repeat(np.arange(len(sets)), [len(x) for x in lengths])
@@ -106,18 +101,20 @@ def fit(texts: list[str], toxic: list[int], max_features: int = 4000, min_docs:
 
 
 def sample(docs: DataFrame, labels: DataFrame, max_labelled: int) -> tuple[list[str], list[int]]:
-    """Texts and labels of the labelled rows with the smallest hashes. Nulls in toxic, doc_id or text take no part; of two labels the toxic one counts."""
-    chosen = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("_toxic"))
+    """Texts and grades of the labelled rows with the smallest hashes. Nulls in toxic, doc_id or text take no part; of two labels
+    the higher grade counts; without a quality column, or where it is null, quality is high."""
+    low = (F.col("quality") <= 0) if "quality" in labels.columns else F.lit(False)
+    grade = F.when(F.col("toxic") > 1, F.col("toxic").cast("int")).when(F.col("toxic") > 0, F.when(F.coalesce(low, F.lit(False)), 2).otherwise(1)).otherwise(0)
+    chosen = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(grade).alias("_grade"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     # at most max_labelled rows of two numbers: the bound that makes this broadcast safe
-    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "_toxic").toPandas()
+    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "_grade").toPandas()
     rows = rows.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
-    return rows["text"].tolist(), rows["_toxic"].tolist()
+    return rows["text"].tolist(), rows["_grade"].tolist()
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 5000, **options) -> OrdinalModel:
-    texts, toxic = sample(docs, labels, max_labelled)
-    return fit(texts, toxic, **options)
+    return fit(*sample(docs, labels, max_labelled), **options)
 
 
 def _scorer(model: OrdinalModel):
@@ -174,7 +171,11 @@ def score(docs: DataFrame, model: OrdinalModel, threshold: float = 0.15) -> Data
 
 
 def reject_toxic(docs: DataFrame, model: OrdinalModel, threshold: float = 0.15) -> DataFrame:
-    """docs without the rows judged toxic; columns as they were."""
+    """docs without the rows judged toxic; columns as they were, whatever their names.
+
+    Null and empty texts, and all rows if the model is empty, stay; each repeated row is judged alike; null ids stay; an
+    empty table gives none.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     at = docs.columns.index("text")
