@@ -74,14 +74,21 @@ class CompressionClassifier:
         return names[ranked[0]], 1 - sizes[ranked[0]] / sizes[ranked[1]] if len(ranked) > 1 else 1.0
 
 
-def train(docs: DataFrame, per_language: int = 300, dictionary_bytes: int = 300_000, **options) -> CompressionClassifier:
-    """Learns from text and non-null lang of rows that are not held out; each text gives pieces of up to an equal share of dictionary_bytes."""
+def train(docs: DataFrame, per_language: int = 300, dictionary_bytes: int = 300_000, max_languages: int = 256, **options) -> CompressionClassifier:
+    """Learns from text and non-null lang of rows that are not held out; each text gives pieces of up to an equal share of dictionary_bytes.
+
+    The sample is bounded by per_language rows and dictionary_bytes of each language; more than max_languages values of lang are an error,
+    since every text is compressed once for each.
+    """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    rated = known.groupBy("lang").count().limit(max_languages + 1).collect()
+    if len(rated) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+    counts = {r["lang"]: r["count"] for r in rated}
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = known.select("doc_id", "lang").withColumn("_n", F.row_number().over(by_hash)).where(F.col("_n") <= per_language).select("doc_id").distinct()
-    # at most per_language ids for each language: the bound that makes this broadcast safe
+    # at most per_language ids for each of max_languages: the bound that makes this broadcast safe
     rows = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id").toPandas().sort_values(["lang", "doc_id", "text"])
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row a language
     dictionaries = {}
     for lang, own in sorted(rows.groupby("lang"), key=lambda x: (-counts[x[0]], x[0])):
         texts = [letters(t) for t in own["text"] if _LETTER.search(t)]
