@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from itertools import chain
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,8 @@ from pyspark.sql import DataFrame
 from .common import map_batches
 from .pieces import UNKNOWN, Vocabulary, pre_tokens
 
-#: Pre-tokens a worker remembers, and how many go into one trie: bounds of memory, not of what is counted.
-_MEMORY, _TRIE = 1_200_000, 20_000
+#: Pre-tokens a worker remembers, pairs of tokens too, and how many pre-tokens go into one trie: bounds of memory, not of what is counted.
+_MEMORY, _AGREES, _TRIE = 1_200_000, 1_000_000, 20_000
 
 
 class TrieCounter:
@@ -39,57 +40,58 @@ class TrieCounter:
         self.tables = [np.empty(0, np.int64), np.empty(0, np.int64)]
 
     def count_words(self, words: list[str]) -> tuple[list[int], list[int]]:
-        """(merge count, unigram count) of each of the words, all distinct."""
-        trie: dict = {}
-        for i, word in enumerate(words):
-            node = trie
-            for char in word:
-                node = node.setdefault(char, {})
-            node[""] = i
+        """(merge count, unigram count) of each of the words, all distinct.
+
+        The trie is held as its words in order, each with the length of the prefix it shares with the one before: the path
+        walked keeps the state of that prefix, and each step goes to a node that no word before has reached.
+        """
+        order = sorted(range(len(words)), key=words.__getitem__)
         merged, unigram = [0] * len(words), [0] * len(words)
         ids, scores, endings, longest = self.vocabulary.ids, self.scores, self.endings, self.vocabulary.longest
         known, ask = self.agrees, self.vocabulary.agrees
+        if len(known) > _AGREES:
+            known.clear()
         # one entry for each depth of the path walked: last token and count of the merge pass, score and count of the unigram pass
         last: list[int | None] = [None]
         n_merged, best, n_best = [0], [0.0], [0]
-        stack = [(trie, 0, "")]
-        while stack:
-            node, depth, tail = stack.pop()
-            if depth:
-                if len(last) <= depth:
-                    for column in (last, n_merged, best, n_best):
-                        column.append(0)
-                char = tail[-1]
-                if char in ids:
-                    top, fewest, found = -math.inf, 0, False
-                    before = depth
-                    for at in range(len(tail) - 1, -1, -1):
-                        piece = endings.get(tail[at:])
-                        before -= 1
-                        if piece is None:
-                            break
-                        if piece < 0:
-                            continue
-                        score = best[before] + scores[piece]
-                        if score >= top:
-                            top, fewest = score, n_best[before] + 1
-                        if not found:
-                            key = (last[before], piece)
-                            found = known.get(key)
-                            if found is None:
-                                found = known[key] = ask(*key)
-                            if found:
-                                last[depth], n_merged[depth] = piece, n_merged[before] + 1
-                    best[depth], n_best[depth] = top, fewest
-                else:
+        before_word = ""
+        for i in order:
+            word = words[i]
+            common = len(commonprefix((before_word, word)))
+            for column in (last, n_merged, best, n_best):
+                del column[common + 1 :]
+            before_word = word
+            for depth in range(common + 1, len(word) + 1):
+                char = word[depth - 1]
+                if char not in ids:
                     n = len(char.encode("utf-8", "surrogatepass"))
-                    last[depth], n_merged[depth] = UNKNOWN, n_merged[depth - 1] + n
-                    best[depth], n_best[depth] = best[depth - 1] + n * self.floor, n_best[depth - 1] + n
-            for char, child in node.items():
-                if char:
-                    stack.append((child, depth + 1, (tail + char)[-longest:]))
-                else:
-                    merged[child], unigram[child] = n_merged[depth], n_best[depth]
+                    last.append(UNKNOWN)
+                    n_merged.append(n_merged[-1] + n)
+                    best.append(best[-1] + n * self.floor)
+                    n_best.append(n_best[-1] + n)
+                    continue
+                top, fewest, found, token, count = -math.inf, 0, False, None, 0
+                for before in range(depth - 1, max(-1, depth - 1 - longest), -1):
+                    piece = endings.get(word[before:depth])
+                    if piece is None:
+                        break
+                    if piece < 0:
+                        continue
+                    score = best[before] + scores[piece]
+                    if score >= top:
+                        top, fewest = score, n_best[before] + 1
+                    if not found:
+                        key = (last[before], piece)
+                        found = known.get(key)
+                        if found is None:
+                            found = known[key] = ask(*key)
+                        if found:
+                            token, count = piece, n_merged[before] + 1
+                last.append(token)
+                n_merged.append(count)
+                best.append(top)
+                n_best.append(fewest)
+            merged[i], unigram[i] = n_merged[-1], n_best[-1]
         return merged, unigram
 
     def count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
