@@ -13,21 +13,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 # ---- fixed values: vocabularies of structured data and landmarks
-ARTICLE_TYPES = {"article", "newsarticle", "reportagenewsarticle", "analysisnewsarticle", "opinionnewsarticle", "backgroundnewsarticle", "reviewnewsarticle", "blogposting", "liveblogposting", "report", "pressrelease", "scholarlyarticle"}
-WEAK_TYPES = {"webpage", "itempage", "collectionpage", "aboutpage", "creativework"}
+ARTICLE_TYPES = {"newsarticle", "article", "blogposting", "report", "pressrelease", "reportagenewsarticle", "analysisnewsarticle", "backgroundnewsarticle", "opinionnewsarticle", "reviewnewsarticle", "liveblogposting", "socialmediaposting"}
+WEAK_TYPES = {"webpage", "collectionpage", "itempage", "aboutpage", "creativework"}
 HEADLINE_KEYS, DATE_KEYS = ("headline", "name", "alternativeHeadline"), ("datePublished", "dateCreated", "uploadDate", "datePosted")
 META_DATES = ("article:published_time", "article:published", "og:article:published_time", "datepublished", "publish-date", "publication_date", "date", "dc.date", "dcterms.created", "sailthru.date")
 CHROME_TAGS, CHROME_ROLES = {"nav", "header", "footer", "aside"}, {"navigation", "banner", "contentinfo", "complementary", "search", "menu"}
 BLOCKS = {"p", "div", "section", "article", "main", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "table", "tr", "td", "th", "dl", "dt", "dd", "figure", "figcaption", "br", "hr", "body", "nav", "header", "footer", "aside", "form"}
 SKIPPED, VOID = {"script", "style", "noscript", "template", "svg", "iframe", "button", "select", "form"}, {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 MAX_NODES, BODY_MIN = 500, 200
+#: Selectors of a publish date that names itself, the most trusted first.
+DATED = ('meta[itemprop="datePublished"]', '[itemprop="datePublished"]', 'time[itemprop="datePublished"]', "time[pubdate]", "time.published", "time.entry-date")
+HYDRATION, SCRIPT_NOTICES = ("__NEXT_DATA__", "__NUXT__", "__INITIAL_STATE__", "__APOLLO_STATE__", "__remixContext"), ("enable javascript", "requires javascript")
+#: Dates as pages show them, for the search of a page that names none.
+SHOWN_DATE = r"\b(?:\d{4}-\d{2}-\d{2}|(?:January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept?|Oct|Nov|Dec)\.? \d{1,2}, \d{4}|\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December) \d{4})\b"
+PUBLISHED_WORDS = r"(?i)\b(?:published|posted|released|released on|date|updated)\b"
 # ---- end of fixed values
 
 FACTS = pa.schema(
     [
         ("page_id", pa.int64()), ("url", pa.string()), ("title", pa.string()), ("h1", pa.string()), ("meta", pa.map_(pa.string(), pa.string())),
         ("jsonld", pa.struct([("is_article", pa.bool_()), ("weak_only", pa.bool_()), ("headline", pa.string()), ("date_raw", pa.string()), ("body", pa.string()), ("language", pa.string()), ("types", pa.list_(pa.string()))])),
-        ("time_raw", pa.string()), ("links", pa.list_(pa.struct([("href", pa.string()), ("in_chrome", pa.bool_())]))), ("feeds", pa.list_(pa.string())), ("body", pa.string()), ("body_second", pa.string()), ("scripts", pa.int32()),
+        ("time_raw", pa.string()), ("links", pa.list_(pa.struct([("href", pa.string()), ("in_chrome", pa.bool_())]))), ("feeds", pa.list_(pa.string())), ("body", pa.string()), ("body_second", pa.string()), ("scripts", pa.int32()), ("searched_date", pa.string()),
+        ("html_chars", pa.int32()), ("script_notice", pa.bool_()), ("hydration", pa.bool_()),
     ]
 )
 
@@ -38,7 +45,10 @@ class _Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool]] = []
-        self.title, self.h1, self.meta, self.times, self.links, self.feeds, self.ld, self.blocks = "", None, {}, [], [], [], [], []
+        self.title, self.h1, self.meta, self.links, self.feeds, self.ld, self.blocks = "", None, {}, [], [], [], []
+        self.dated: dict[str, list[str]] = {}  # parts of the text, or the attribute, of the first element of each selector
+        self.dating: list[tuple[int, list[str]]] = []  # elements whose text is being read: depth and parts
+        self.machine_dates: list[str] = []
         self.text, self.ld_text, self.h1_text, self.scripts = [], None, None, 0
         self.link_chars, self.in_link, self.in_title = 0, 0, False
 
@@ -56,8 +66,9 @@ class _Page(HTMLParser):
             self.flush()
         if tag == "meta":
             name = (a.get("property") or a.get("name") or a.get("itemprop") or "").lower()
-            if name and "content" in a:
-                self.meta.setdefault(name, a["content"])
+            name, content = name.strip(), a.get("content", "").strip()
+            if name and content:
+                self.meta.setdefault(name, content)
         elif tag == "link" and "alternate" in a.get("rel", "").lower() and re.search("rss|atom", a.get("type", ""), re.I) and a.get("href"):
             self.feeds.append(a["href"])
         elif tag == "a":
@@ -72,10 +83,18 @@ class _Page(HTMLParser):
             self.scripts += 1
             if a.get("type", "").lower() == "application/ld+json":
                 self.ld_text = []
-        prop = a.get("itemprop", "").lower()
-        if tag == "time" or prop == "datepublished":
-            rank = 0 if prop == "datepublished" else 1 if "pubdate" in a else 2
-            self.times.append((rank, a.get("content") or a.get("datetime") or None))
+        prop, classes = a.get("itemprop") == "datePublished", a.get("class", "").split()
+        time = tag == "time"
+        parts = [v] if (v := (a.get("content") or a.get("datetime") or "").strip()) else []
+        matches = (tag == "meta" and prop, prop, time and prop, time and "pubdate" in a, time and "published" in classes, time and "entry-date" in classes)
+        if any(matches):
+            for selector, hit in zip(DATED, matches, strict=True):
+                if hit:
+                    self.dated.setdefault(selector, parts)
+            if not parts and tag not in VOID:
+                self.dating.append((len(self.stack), parts))
+        if time and a.get("datetime"):
+            self.machine_dates.append(a["datetime"])
         if tag not in VOID:
             self.stack.append((tag, tag in CHROME_TAGS or a.get("role", "").lower() in CHROME_ROLES))
 
@@ -94,8 +113,12 @@ class _Page(HTMLParser):
         if any(t == tag for t, _ in self.stack):
             while self.stack and self.stack.pop()[0] != tag:
                 pass
+            while self.dating and self.dating[-1][0] >= len(self.stack):
+                self.dating.pop()
 
     def handle_data(self, data):
+        for _, parts in self.dating:
+            parts.append(data.strip())
         if self.ld_text is not None:
             self.ld_text.append(data)
         if self.in_title:
@@ -108,22 +131,22 @@ class _Page(HTMLParser):
                 self.link_chars += len(data)
 
 
-def _first(value) -> str | None:
-    """A string in a value that may be a list or an object with @value or name."""
-    if isinstance(value, list):
-        return next((s for s in map(_first, value) if s), None)
-    if isinstance(value, dict):
-        return _first(value.get("@value") or value.get("name"))
-    return value.strip() or None if isinstance(value, str) else None
+def _first(node: dict, keys: tuple[str, ...]) -> str | None:
+    """The first string that isn't blank under keys, or in a list under one."""
+    for key in keys:
+        value = node.get(key)
+        for v in value if isinstance(value, list) else [value]:
+            if isinstance(v, str) and v.strip():
+                return v.strip()
+    return None
 
 
-def jsonld_facts(blocks: list[str]) -> dict:
-    """What structured data says: articles first, pages in general only as a weak answer. Broken blocks are skipped."""
-    strong, weak, types = [], [], []
+def _nodes(blocks: list[str]):
+    """(types, node) of all objects in structured data, lists and @graph laid flat. Broken blocks are skipped."""
     for block in blocks:
         try:
             todo = [json.loads(block)]
-        except ValueError:
+        except (ValueError, RecursionError):
             continue
         seen = 0
         while todo and seen < MAX_NODES:
@@ -135,17 +158,44 @@ def jsonld_facts(blocks: list[str]) -> dict:
                 if isinstance(node.get("@graph"), list):
                     todo.extend(node["@graph"])
                 kinds = node.get("@type")
-                kinds = {k.lower() for k in (kinds if isinstance(kinds, list) else [kinds]) if isinstance(k, str)}
-                types += sorted(kinds)
-                (strong if kinds & ARTICLE_TYPES else weak if kinds & WEAK_TYPES else []).append(node)
-    out = {"is_article": bool(strong), "weak_only": bool(weak) and not strong, "types": types, "headline": None, "date_raw": None, "body": None, "language": None}
-    for node in strong or weak:
-        for name, keys in (("headline", HEADLINE_KEYS), ("date_raw", DATE_KEYS), ("language", ("inLanguage",))):
-            out[name] = out[name] or next((v for v in (_first(node.get(k)) for k in keys) if v), None)
-        body = _first(node.get("articleBody"))
-        if strong and body and len(body) > BODY_MIN:
-            out["body"] = body
-    return out
+                yield {str(k).lower() for k in kinds} if isinstance(kinds, list) else {kinds.lower()} if isinstance(kinds, str) else set(), node
+
+
+def jsonld_facts(blocks: list[str]) -> dict:
+    """What structured data says. Articles speak first; pages in general fill each field that articles leave empty, which makes the answer weak."""
+    out = {"is_article": False, "weak_only": False, "types": set(), "headline": None, "date_raw": None, "body": None, "language": None}
+    weak: dict[str, str | None] = {"headline": None, "date_raw": None}
+    for kinds, node in _nodes(blocks):
+        out["types"] |= kinds
+        target = out if kinds & ARTICLE_TYPES else weak if kinds & WEAK_TYPES else None
+        if target is None:
+            continue
+        for name, keys in (("headline", HEADLINE_KEYS), ("date_raw", DATE_KEYS)):
+            target[name] = target[name] or _first(node, keys)
+        if target is weak:
+            continue
+        out["is_article"] = True
+        body, language = node.get("articleBody"), node.get("inLanguage")
+        if isinstance(body, str) and len(body.strip()) > BODY_MIN:
+            out["body"] = body.strip()
+        if isinstance(language, dict):
+            language = language.get("name") or language.get("@id")
+        if isinstance(language, str):
+            out["language"] = language
+    for name, value in weak.items():
+        if value and not out[name]:
+            out[name], out["weak_only"] = value, True
+    return out | {"types": sorted(out["types"])}
+
+
+def searched_date(machine: list[str], lines: list[str]) -> str | None:
+    """A date that a page shows without naming it: one for machines, else the first behind a word of publishing, else the first of all."""
+    if machine:
+        return machine[0].strip()
+    shown = [(m, line) for line in lines for m in [re.search(SHOWN_DATE, line)] if m]
+    named = next((m for m, line in shown if len(line) <= 200 and re.search(PUBLISHED_WORDS, line[: m.start()])), None)
+    found = named or (shown[0][0] if shown else None)
+    return found[0].replace(".", "") if found else None
 
 
 def facts(page: str | None) -> dict:
@@ -156,10 +206,13 @@ def facts(page: str | None) -> dict:
     p.flush()
     inside = [t for t, _, chrome, main in p.blocks if main and not chrome]
     dense = [t for t, links, chrome, _ in p.blocks if not chrome and links < 0.5 and (len(t) >= 40 or t.endswith((".", "!", "?", ":", '"')))]
-    times = sorted((t for t in p.times if t[1]), key=lambda t: t[0])
+    named = ("".join(p.dated.get(selector, ())).strip() for selector in DATED)
+    html = page or ""
+    lowered = html.lower()
     return {
-        "title": re.sub(r"\s+", " ", entities.unescape(p.title)).strip() or None, "h1": p.h1, "meta": list(p.meta.items()), "jsonld": jsonld_facts(p.ld), "time_raw": times[0][1] if times else None,
+        "title": re.sub(r"\s+", " ", entities.unescape(p.title)).strip() or None, "h1": p.h1, "meta": list(p.meta.items()), "jsonld": jsonld_facts(p.ld), "time_raw": next((d for d in named if d), None), "searched_date": searched_date(p.machine_dates, [t for t, _, chrome, _ in p.blocks if not chrome]),
         "links": [{"href": h, "in_chrome": c} for h, c in p.links], "feeds": p.feeds, "body": "\n".join(inside or dense) or None, "body_second": "\n".join(dense) or None, "scripts": p.scripts,
+        "html_chars": len(html), "script_notice": any(n in lowered for n in SCRIPT_NOTICES), "hydration": any(m in html for m in HYDRATION),
     }
 
 
