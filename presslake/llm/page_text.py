@@ -33,8 +33,8 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from .common import map_batches
 
-#: Input bytes for each stretch, the most stretches, and urls sampled for each; a share of what a page holds beyond which a pair is one of copies.
-STRETCH_BYTES, MOST_STRETCHES, SAMPLED, COPIES_SHARE = 64 << 20, 65_536, 8, 0.8
+#: Input bytes for each task, stretches of each, the most stretches, and urls sampled for each; a share of what a page holds beyond which a pair is one of copies.
+TASK_BYTES, STRETCHES, MOST_STRETCHES, SAMPLED, COPIES_SHARE = 64 << 20, 4, 65_536, 8, 0.8
 
 # ---- fixed values of HTML: element kinds
 _RAW = {"script", "style", "title", "textarea", "iframe", "xmp", "noembed", "noframes"}
@@ -473,13 +473,15 @@ def extract(pages: DataFrame, stretches: int | None = None) -> DataFrame:
     Null or empty html gives empty text; a null url counts as an empty one (its pages are neighbours); null ids stay;
     repeated rows each give a row; neighbours of equal lines are differenced as one page; an empty table gives none; other columns are
     not read. A page without a neighbour on its host keeps all lines that markup doesn't rule out. The result is the same
-    for any number of stretches (by default one for STRETCH_BYTES of the input, the session's shuffle partitions at least).
+    for any number of stretches (by default STRETCHES for each task, of which there is one for TASK_BYTES of the input, the session's
+    shuffle partitions at least).
     """
     spark = pages.sparkSession
     pages = pages.select(pages["page_id"].cast("long").alias("page_id"), "url", "html")
-    if stretches is None:
-        size = int(str(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        stretches = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // STRETCH_BYTES), MOST_STRETCHES)
+    size = int(str(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size < 1 << 60  # where Spark knows no size it takes one beyond all tables
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // TASK_BYTES, MOST_STRETCHES) if known else 1)
+    stretches = stretches or min(STRETCHES * tasks, MOST_STRETCHES)
     borders = spark.sparkContext.broadcast(_borders(pages, stretches))  # MOST_STRETCHES urls at most
 
     def parsed():
@@ -493,7 +495,7 @@ def extract(pages: DataFrame, stretches: int | None = None) -> DataFrame:
 
         return f
 
-    dealt = map_batches(pages, _PARSED, parsed).repartition("stretch").sortWithinPartitions("stretch", *_ORDER)
+    dealt = map_batches(pages, _PARSED, parsed).repartition(tasks, "stretch").sortWithinPartitions("stretch", *_ORDER)
     edges = dealt.mapInArrow(_edge_runs, from_arrow_schema(_EDGE)).repartition(1).sortWithinPartitions(*_ORDER)  # four pages a stretch
     texts = edges.mapInArrow(_edge_texts, from_arrow_schema(_EDGE_TEXT))
     at_edge = dealt.mapInArrow(_edge_pages, from_arrow_schema(_EDGE_PAGE)).join(texts, "edge").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
