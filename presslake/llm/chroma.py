@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ from .common import Scratch, map_batches
 RATE, FRAME, HOP, SPAN = 4096, 512, 256, 8
 #: (first frame, frames, first class, classes, kind): kind 0 splits the rectangle in time, 1 in pitch.
 FILTERS = tuple((t, w, c, h, k) for k in (0, 1) for t, w in ((0, 8), (2, 4)) for c, h in ((0, 12), (0, 4), (4, 4), (8, 4)))
+#: Bounds between the four levels of a filter.
+LEVELS = (-0.15, 0.0, 0.15)
 #: A match overlaps in LEAST items (two seconds) or all of the shorter recording, with at most this share of wrong bits.
 LEAST, MOST_WRONG = 32, 0.2
 #: Items of a group of classes on average, and pairs of places met at once: they bound a task's memory.
@@ -34,35 +37,53 @@ _CLASS = (np.round(12 * np.log2(_BINS[_USED] / 440.0)).astype(int) % 12)
 
 
 def chroma(samples: np.ndarray) -> np.ndarray:
-    """frames x 12 energies, each frame scaled to length 1."""
-    n = 1 + (len(samples) - FRAME) // HOP if len(samples) >= FRAME else 0
+    """recordings x frames x 12 energies of recordings of one length, each frame scaled to length 1."""
+    n = 1 + (samples.shape[1] - FRAME) // HOP if samples.shape[1] >= FRAME else 0
     if n <= 0:
-        return np.zeros((0, 12))
-    frames = np.lib.stride_tricks.sliding_window_view(samples, FRAME)[::HOP][:n] * np.hanning(FRAME)
-    power = np.abs(np.fft.rfft(frames, axis=1))[:, _USED] ** 2
+        return np.zeros((len(samples), 0, 12))
+    frames = np.lib.stride_tricks.sliding_window_view(samples, FRAME, axis=1)[:, ::HOP][:, :n] * np.hanning(FRAME)
+    power = np.abs(np.fft.rfft(frames, axis=2)[:, :, _USED]) ** 2
     out = power @ np.eye(12)[_CLASS]
-    return out / np.maximum(np.sqrt((out**2).sum(1, keepdims=True)), 1e-9)
+    return out / np.maximum(np.sqrt((out**2).sum(2, keepdims=True)), 1e-9)
 
 
-def fingerprint(samples: np.ndarray) -> np.ndarray:
-    """One uint32 for each position at which all filters fit; none for a recording shorter than that."""
-    frames = chroma(np.asarray(samples, dtype=np.float64))
-    n = len(frames) - SPAN + 1
+def _printed(samples: np.ndarray) -> np.ndarray:
+    """recordings x positions: one uint32 for each position at which all filters fit."""
+    frames = chroma(samples)
+    n = frames.shape[1] - SPAN + 1
     if n <= 0:
-        return np.empty(0, dtype=np.uint32)
-    image = np.zeros((len(frames) + 1, 13))
-    image[1:, 1:] = frames.cumsum(0).cumsum(1)
-    at = np.arange(n)
-    area = lambda t0, t1, c0, c1: image[at + t1, c1] - image[at + t0, c1] - image[at + t1, c0] + image[at + t0, c0]
-    out = np.zeros(n, dtype=np.uint32)
+        return np.empty((len(samples), 0), dtype=np.uint32)
+    image = np.zeros((len(samples), frames.shape[1] + 1, 13))
+    image[:, 1:, 1:] = frames.cumsum(1).cumsum(2)
+    area = lambda t0, t1, c0, c1: image[:, t1 : t1 + n, c1] - image[:, t0 : t0 + n, c1] - image[:, t1 : t1 + n, c0] + image[:, t0 : t0 + n, c0]
+    out = np.zeros((len(samples), n), dtype=np.uint32)
     for t, w, c, h, kind in FILTERS:
         a, b = (area(t, t + w // 2, c, c + h), area(t + w // 2, t + w, c, c + h)) if kind == 0 else (area(t, t + w, c, c + h // 2), area(t, t + w, c + h // 2, c + h))
-        value = np.log1p(np.maximum(a, 0)) - np.log1p(np.maximum(b, 0))
-        level = np.digitize(np.round(value, 9), (-0.15, 0.0, 0.15))
-        out = (out << np.uint32(2)) | (level ^ (level >> 1)).astype(np.uint32)  # Gray code: near levels differ in one bit
+        value = np.round(np.log1p(np.maximum(a, 0)) - np.log1p(np.maximum(b, 0)), 9)
+        level = sum((value >= bound).astype(np.uint32) for bound in LEVELS)
+        out = (out << np.uint32(2)) | (level ^ (level >> np.uint32(1)))  # Gray code: near levels differ in one bit
+    return out
+
+
+def fingerprints_of(recordings: list[np.ndarray]) -> list[np.ndarray]:
+    """The integers of each recording, none for one too short; recordings of one length go through the filters together, about AT_ONCE samples at once."""
+    out: list[np.ndarray] = [np.empty(0, dtype=np.uint32)] * len(recordings)
+    by_length: dict[int, list[int]] = {}
+    for i, x in enumerate(recordings):
+        by_length.setdefault(len(x), []).append(i)
+    for length, own in by_length.items():
+        step = max(1, AT_ONCE // max(1, length))
+        for at in range(0, len(own), step):
+            part = own[at : at + step]
+            for i, items in zip(part, _printed(np.stack([np.asarray(recordings[i], dtype=np.float64) for i in part])), strict=True):
+                out[i] = items
     return out
 
 
+def fingerprint(samples: np.ndarray) -> np.ndarray:
+    return fingerprints_of([samples])[0]
+
+
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, float] | None:
     """(offset, share of wrong bits): b is a from position offset on. None if no integer is shared; of equal votes the smallest offset wins."""
     places: dict[int, list[int]] = {}
@@ -87,33 +108,23 @@ def tones(values: np.ndarray) -> np.ndarray:
 PRINTED = pa.schema([("rec_id", pa.int64()), ("n_items", pa.int64()), ("sha256", pa.string()), ("items", pa.list_(pa.int64()))])
 
 
-def fingerprints(rows: DataFrame) -> DataFrame:
+def fingerprints(rows: DataFrame, sound: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """rec_id, n_items, sha256 and items (packed integers) of rows(rec_id, samples ARRAY<DOUBLE>).
 
-    Null samples and recordings too short have no items; null or non-finite values count as silence; null ids and repeated rows
-    stay; an empty table gives none. One pass without a shuffle.
+    sound turns a row's samples into a recording first (see tones). Null samples and recordings too short have no items; null or
+    non-finite values count as silence; null ids and repeated rows stay; an empty table gives none; other columns are not read. One pass without a shuffle.
     """
 
     def start():
         def f(batch):
-            items = [fingerprint(np.nan_to_num(np.array(x, dtype=np.float64), posinf=0.0, neginf=0.0)) if x else np.empty(0, np.uint32) for x in batch.column(1).to_pylist()]
+            heard = [np.nan_to_num(np.array(x, dtype=np.float64), posinf=0.0, neginf=0.0) if x else np.empty(0) for x in batch.column(1).to_pylist()]
+            items = fingerprints_of([sound(x) if len(x) else x for x in heard] if sound else heard)
             return [batch.column(0), [len(x) for x in items], [hashlib.sha256(x.tobytes()).hexdigest() for x in items], [x.astype(np.int64) for x in items]]
 
         return f
 
-    return map_batches(rows.select(F.col("rec_id").cast("long").alias("rec_id"), F.col("samples").cast("array<double>").alias("samples")), PRINTED, start)
-
-
-def render(rows: DataFrame) -> DataFrame:
-    """rows(vec_id, embedding) as recordings (rec_id, samples): see tones."""
-
-    def start():
-        def f(batch):
-            return [batch.column(0), [tones(np.nan_to_num(np.array(x, dtype=np.float64), posinf=0.0, neginf=0.0)) if x else None for x in batch.column(1).to_pylist()]]
-
-        return f
-
-    return map_batches(rows.select(F.col("vec_id").cast("long").alias("rec_id"), F.col("embedding").cast("array<double>").alias("embedding")), pa.schema([("rec_id", pa.int64()), ("samples", pa.list_(pa.float64()))]), start, slice_bytes=1 << 16)
+    rows = rows.select(F.col("rec_id").cast("long").alias("rec_id"), F.col("samples").cast("array<double>").alias("samples"))
+    return map_batches(rows, PRINTED, start, slice_bytes=1 << 16 if sound else 4 << 20)
 
 
 _MATCHES = pa.list_(pa.struct([("wrong", pa.float64()), ("rec_id", pa.int64()), ("offset", pa.int64()), ("votes", pa.int64())]))

@@ -20,7 +20,8 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables hold no sound, so each vector is rendered as a recording."""
-    return chroma.matched(chroma.fingerprints(chroma.render(read(spark, sf_dir, "embeddings"))))
+    rows = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("rec_id"), F.col("embedding").alias("samples"))
+    return chroma.matched(chroma.fingerprints(rows, chroma.tones))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

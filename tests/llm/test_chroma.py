@@ -15,12 +15,39 @@ def test_alignment_finds_the_shift():
     assert other is None or other[1] > 0.2
 
 
+def test_filters_against_direct_sums():
+    rnd = np.random.default_rng(2)
+    sounds = [chroma.tones(rnd.normal(size=n) / 3) for n in (40, 64, 40, 9, 1)]
+    for sound, items in zip(sounds, chroma.fingerprints_of(sounds), strict=True):
+        frames = []
+        for at in range(0, len(sound) - chroma.FRAME + 1, chroma.HOP):
+            power = np.abs(np.fft.rfft(sound[at : at + chroma.FRAME] * np.hanning(chroma.FRAME))) ** 2
+            energy = np.zeros(12)
+            for k, p in enumerate(power):
+                hertz = k * chroma.RATE / chroma.FRAME
+                if hertz >= 55:
+                    energy[int(np.round(12 * np.log2(hertz / 440))) % 12] += p
+            frames.append(energy / max(np.sqrt((energy**2).sum()), 1e-9))
+        want = []
+        for at in range(len(frames) - chroma.SPAN + 1):
+            x = np.array(frames[at : at + chroma.SPAN])
+            bits = 0
+            for t, w, c, h, kind in chroma.FILTERS:
+                block = x[t : t + w, c : c + h]
+                a, b = (block[: w // 2], block[w // 2 :]) if kind == 0 else (block[:, : h // 2], block[:, h // 2 :])
+                value = round(float(np.log1p(max(a.sum(), 0)) - np.log1p(max(b.sum(), 0))), 9)
+                bits = bits << 2 | (0, 1, 3, 2)[sum(value >= bound for bound in (-0.15, 0.0, 0.15))]
+            want.append(bits)
+        assert items.tolist() == want
+
+
 def test_odd_rows(spark):
-    rows = [(1, None), (2, []), (3, [0.1, None, float("nan")]), (None, [0.2] * 40), (4, [0.1 * (i % 9) for i in range(64)]), (4, [0.1 * (i % 9) for i in range(64)])]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    out = chroma.fingerprints(chroma.render(table)).collect()
+    printed = lambda t: chroma.fingerprints(t.withColumnsRenamed({"vec_id": "rec_id", "embedding": "samples"}), chroma.tones)
+    rows = [(1, None, "c", "c"), (2, [], "c", "c"), (3, [0.1, None, float("nan")], "c", "c"), (None, [0.2] * 40, "c", "c"), (4, [0.1 * (i % 9) for i in range(64)], "c", "c"), (4, [0.1 * (i % 9) for i in range(64)], "c", "c")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, items string, sha256 string")
+    out = printed(table).collect()
     assert len(out) == 6 and all(r.n_items == len(r["items"]) for r in out) and {r.rec_id: r.n_items for r in out}[1] == 0
-    assert len({r.sha256 for r in out if r.rec_id == 4}) == 1 and chroma.fingerprints(chroma.render(table.limit(0))).count() == 0
+    assert len({r.sha256 for r in out if r.rec_id == 4}) == 1 and printed(table.limit(0)).count() == 0
 
 
 def test_matches_equal_the_alignment_of_all_pairs(spark, monkeypatch):
