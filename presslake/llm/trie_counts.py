@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import math
 from itertools import chain
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +56,9 @@ class TrieCounter:
         before_word = ""
         for i in order:
             word = words[i]
-            common = len(commonprefix((before_word, word)))
+            common, most = 0, min(len(before_word), len(word))
+            while common < most and before_word[common] == word[common]:
+                common += 1
             for column in (last, n_merged, best, n_best):
                 del column[common + 1 :]
             before_word = word
