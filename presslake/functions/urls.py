@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .suffixes import THREE_LABELS, TWO_LABELS, Rules, by_list
+
 # ---- fixed values: patterns and words that decide what a URL is
 JUNK_PARAM = r"(?i)^(utm_|ic[ei]d$|mc_|pk_|fbclid$|gclid$|dclid$|msclkid$|yclid$|_ga$|_gl$|ref$|referrer$|source$|cmpid$|CMP$|sr_share$|at_medium$|at_campaign$)"
 DATE_IN_PATH = r"/(19|20)\d{2}[/-](0?[1-9]|1[0-2])([/-](0?[1-9]|[12]\d|3[01]))?(/|$|-)"
@@ -30,14 +32,8 @@ NON_ARTICLE_SECTION = (
 )
 NEWS_SEGMENT = r"(?i)(^|/)(news|newsroom|press|press-release[s]?|news-release[s]?|releases|story|stories|article|articles|blog|media|announcement[s]?|bulletin)(/|$)"
 SOFT_NON_NEWS = r"(?i)(^|/)(about|about-us|who-we-are|our-story|leadership|governance|foundation|alumni|admissions|academics|research-areas|support-us)(/|$)"
-#: Public suffixes of more than one label; a one-label suffix needs no entry. Pass a fuller list as `suffixes`.
-SUFFIXES = (
-    "co.uk", "org.uk", "ac.uk", "gov.uk", "nhs.uk", "sch.uk", "me.uk", "ltd.uk", "plc.uk", "net.uk", "police.uk",
-    "com.au", "net.au", "org.au", "edu.au", "gov.au", "co.nz", "org.nz", "govt.nz", "ac.nz", "co.jp", "ac.jp", "go.jp", "or.jp", "ne.jp",
-    "com.br", "gov.br", "org.br", "edu.br", "co.za", "gov.za", "org.za", "ac.za", "com.cn", "gov.cn", "edu.cn", "org.cn",
-    "co.in", "gov.in", "ac.in", "org.in", "nic.in", "com.mx", "gob.mx", "edu.mx", "com.sg", "gov.sg", "edu.sg", "co.kr", "go.kr", "ac.kr", "or.kr",
-    "com.tr", "gov.tr", "edu.tr", "co.il", "gov.il", "ac.il", "org.il", "com.hk", "gov.hk", "edu.hk", "com.tw", "gov.tw", "edu.tw",
-)
+#: Public suffixes of two labels beside the patterns of suffixes.py. Pass others, or the rules of a whole list, as `suffixes`.
+SUFFIXES = ("gc.ca", "nic.in")
 # ---- end of fixed values
 
 _PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
@@ -67,40 +63,56 @@ def query(url: Column) -> Column:
     return _part(url, 4)
 
 
-def registrable_domain(url_or_host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
-    """The label in front of the longest public suffix, with it; a host that is all suffix, an IP or a single label stays whole."""
+def registrable_domain(url_or_host: Column, suffixes: tuple[str, ...] | Rules = SUFFIXES) -> Column:
+    """The label in front of the longest public suffix, with it; a host that is all suffix, an IP or a single label stays whole.
+
+    suffixes: more suffixes of two labels beside those of the patterns, or the rules of a whole list.
+    """
     bare = F.regexp_replace(F.lower(F.trim(url_or_host)), r"\.+$", "")
     h = F.when(F.contains(url_or_host, F.lit("//")), host(url_or_host)).otherwise(bare)
-    labels = F.split(h, r"\.")
-    n = F.size(labels)
-    tail = lambda k: F.array_join(F.slice(labels, F.greatest(n - k + 1, F.lit(1)), F.lit(k)), ".")
-    two = tail(2).isin(*suffixes) if suffixes else F.lit(False)
-    ip = h.rlike(r"^[\d.]+$") | F.contains(h, F.lit(":"))
-    return F.when(ip | (n <= 2), h).when(two, tail(3)).otherwise(tail(2))
+    if isinstance(suffixes, Rules):
+        return by_list(h, suffixes)
+
+    def of_labels(labels: Column) -> Column:
+        n = F.size(labels)
+        tail = lambda k: F.array_join(F.slice(labels, F.greatest(n - k + 1, F.lit(1)), F.lit(k)), ".")
+        whole = F.array_join(labels, ".")
+        ip = whole.rlike(r"^[\d.]+$") | F.contains(whole, F.lit(":"))
+        long = (n > 3) & tail(3).rlike(THREE_LABELS)
+        return F.when(ip | (n <= 2), whole).when(long, tail(4)).when(tail(3).rlike(THREE_LABELS), whole).when(_is_suffix(tail(2), suffixes), tail(3)).otherwise(tail(2))
+
+    return let(F.split(h, r"\."), of_labels)
+
+
+def _is_suffix(two: Column, suffixes: tuple[str, ...]) -> Column:
+    return two.rlike(TWO_LABELS) | two.isin(*suffixes) if suffixes else two.rlike(TWO_LABELS)
 
 
 def strip_www(h: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
     """Without www., where that leaves the registrable domain as it is (so www.gov.uk stays)."""
     bare = F.substr(h, F.lit(5))
-    return F.when(h.startswith("www.") & ~bare.isin(*suffixes) & F.contains(bare, F.lit(".")), bare).otherwise(h)
+    return F.when(h.startswith("www.") & ~_is_suffix(bare, suffixes) & ~bare.rlike(THREE_LABELS) & F.contains(bare, F.lit(".")), bare).otherwise(h)
 
 
 def canonical(url: Column) -> Column:
     """The form that equal pages share: see the module's note on the query. '' if the URL has no host."""
-    h = host(url)
-    scheme = F.coalesce(F.nullif(F.lower(_part(url, 1)), F.lit("")), F.lit("https"))
-    port = F.regexp_extract(_part(url, 2), r":(\d+)$", 1)
+    parts = F.struct(host(url).alias("host"), F.lower(_part(url, 1)).alias("scheme"), F.regexp_extract(_part(url, 2), r":(\d+)$", 1).alias("port"), F.regexp_replace(path(url), r"/{2,}", "/").alias("path"), query(url).alias("query"))
+    return let(parts, _canonical)
+
+
+def _canonical(part: Column) -> Column:
+    scheme = F.when(part["scheme"] == "", F.lit("https")).otherwise(part["scheme"])
+    port = part["port"]
     default = ((scheme == "https") & (port == "443")) | ((scheme == "http") & (port == "80")) | (port == "") | (port == "0")
-    clean = F.regexp_replace(path(url), r"/{2,}", "/")
-    clean = F.when(F.length(clean) > 1, F.regexp_replace(clean, r"/+$", "")).otherwise(clean)
-    clean = F.when(clean == "", F.lit("/")).otherwise(clean)
+    clean = F.when(F.length(part["path"]) > 1, F.regexp_replace(part["path"], r"/+$", "")).otherwise(part["path"])
+    clean = F.when(F.length(clean) == 0, F.lit("/")).otherwise(clean)
     named = lambda pair: F.regexp_extract(pair, r"^([^=]*)", 1)
-    pairs = F.filter(F.split(query(url), "&"), lambda pair: (pair != "") & ~named(pair).rlike(JUNK_PARAM))
+    pairs = F.filter(F.split(part["query"], "&"), lambda pair: (pair != "") & ~named(pair).rlike(JUNK_PARAM))
     pairs = F.transform(pairs, lambda pair: F.when(F.contains(pair, F.lit("=")), pair).otherwise(F.concat(pair, F.lit("="))))
-    sorted_query = F.array_join(F.array_sort(pairs), "&")
-    tail = F.when(sorted_query == "", F.lit("")).otherwise(F.concat(F.lit("?"), sorted_query))
+    kept = F.array_join(F.array_sort(pairs), "&")
+    tail = F.when(F.size(pairs) == 0, F.lit("")).otherwise(F.concat(F.lit("?"), kept))
     with_port = F.when(default, F.lit("")).otherwise(F.concat(F.lit(":"), port))
-    return F.when(h == "", F.lit("")).otherwise(F.concat(scheme, F.lit("://"), strip_www(h), with_port, clean, tail))
+    return F.when(part["host"] == "", F.lit("")).otherwise(F.concat(scheme, F.lit("://"), strip_www(part["host"]), with_port, clean, tail))
 
 
 def url_hash(url: Column) -> Column:

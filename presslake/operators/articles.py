@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Iterable
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
@@ -21,9 +22,11 @@ def unseen(refs: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def new_articles(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows to append: of each URL the first by (first_seen_at, url, headline), if it isn't stored. A pre-aggregating pick, so a URL with many rows is cheap."""
-    first = incoming.groupBy("url_hash").agg(F.min_by(F.struct("*"), F.struct("first_seen_at", "url", "headline")).alias("a")).select("a.*")
-    return first.join(stored.select("url_hash").distinct(), "url_hash", "left_anti")
+    """Rows to append: of each URL the first by (first_seen_at, url, headline, content_hash), if it isn't stored. The limit of
+    one works before the shuffle too, so a URL with many rows is cheap and a body travels once."""
+    first = Window.partitionBy("url_hash").orderBy("first_seen_at", "url", "headline", "content_hash")
+    rows = incoming.join(stored.select("url_hash").distinct(), "url_hash", "left_anti")
+    return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
 def twins(incoming: DataFrame, stored: DataFrame) -> DataFrame:
@@ -86,9 +89,52 @@ def purge_archive(lines: DataFrame, a_id: int) -> DataFrame:
 
 def latest(records: DataFrame) -> DataFrame:
     """Of each url the record that came last by (file, pos)."""
-    return records.groupBy("url").agg(F.max_by(F.struct("*"), F.struct("file", "pos")).alias("r")).select("r.*")
+    last = Window.partitionBy("url").orderBy(F.desc("file"), F.desc("pos"))
+    return records.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
 
 
 def delete(rows: DataFrame, a_ids: list[int] | None) -> DataFrame:
     """None deletes all rows, an empty list none."""
     return rows.limit(0) if a_ids is None else rows.where(~F.col("a_id").isin(a_ids) | F.col("a_id").isNull()) if a_ids else rows
+
+
+def backfill(pending_rows: DataFrame, archive: DataFrame) -> DataFrame:
+    """Rows of the store waiting to be loaded, with headline, body and date of the archive (one record of each url, see latest) and `ready`:
+    without a body or a date there the row is left pending."""
+    found = archive.select("url", F.col("a_id").alias("_a"), F.col("headline").alias("_h"), F.col("body").alias("_b"), F.col("published_at").alias("_p"))
+    out = pending_rows.select("url_hash", "url", "domain", "a_id").join(found, "url", "left")
+    ready = (F.coalesce("_b", F.lit("")) != "") & F.col("_p").isNotNull()
+    a_id = F.coalesce(F.nullif("_a", F.lit(0)), "a_id", F.lit(0))
+    return out.select("url_hash", "url", "domain", a_id.alias("a_id"), F.coalesce("_h", F.lit("")).alias("headline"), F.col("_b").alias("body"), F.col("_p").alias("published_at"), ready.alias("ready"))
+
+
+def wire_counts(wire: DataFrame, today: date) -> DataFrame:
+    """kind, word, n of the wire table wire(status, create_date): all rows, those of today, and those of each status."""
+    said = lambda kind, word, holds: F.struct(F.lit(kind).alias("kind"), word.alias("word"), holds.alias("holds"))
+    late = F.coalesce(F.to_date("create_date") >= F.lit(today), F.lit(False))
+    own = F.array(said("rows", F.lit(""), F.lit(True)), said("today", F.lit(""), late), said("status", F.coalesce(F.nullif("status", F.lit("")), F.lit("(null)")), F.lit(True)))
+    counts = wire.select(F.explode(own).alias("w")).groupBy("w.kind", "w.word").agg(F.count_if("w.holds").alias("n"))
+    return counts.where("n > 0 OR kind <> 'status'")
+
+
+def newest_wire(wire: DataFrame, limit: int = 10, a_id: int | None = None) -> DataFrame:
+    """The rows loaded last, by pr_id, of all agencies or of one."""
+    return (wire if a_id is None else wire.where(F.col("a_id") == a_id)).orderBy(F.desc("pr_id")).limit(limit)
+
+
+def missing_filenames(loaded: DataFrame, wire: DataFrame) -> DataFrame:
+    """filename of loads whose row isn't in the wire table (any more)."""
+    return loaded.where("tns_filename IS NOT NULL").select(F.col("tns_filename").alias("filename")).distinct().join(wire.select("filename"), "filename", "left_anti")
+
+
+def by_ids(rows: DataFrame, ids: Iterable[int], column: str = "a_id") -> DataFrame:
+    """Rows of the named ids; no ids, no rows."""
+    wanted = sorted({int(i) for i in ids})
+    return rows.where(F.col(column).isin(wanted)) if wanted else rows.limit(0)
+
+
+def search(records: DataFrame, domain_part: str | None = None, last: int | None = None) -> DataFrame:
+    """Archive records whose domain holds a text, the newest `last` of them by (file, pos)."""
+    out = records if domain_part is None else records.where(F.contains(F.lower("domain"), F.lit(domain_part.lower())))
+    out = out.orderBy(F.desc("file"), F.desc("pos"))
+    return out if last is None else out.limit(last)

@@ -66,7 +66,7 @@ def summarise(judged: DataFrame) -> DataFrame:
     return judged.agg(
         F.count("*").alias("targets"),
         *[F.count_if(F.col("verdict") == v).alias(v) for v in ("broken", "suspicious", "check", "ok")],
-        upper_median(F.col("overlap")).alias("median_overlap"),
+        upper_median("overlap").alias("median_overlap"),
         F.count_if(F.col("reachable") & (F.col("n_articles") == 0)).alias("zero_yield"),
         F.count_if(~F.col("reachable")).alias("unreachable"),
         percent(F.count_if(F.col("verdict") == "ok"), F.count("*")).alias("pct_clean"),
@@ -127,10 +127,16 @@ def measure(targets: DataFrame, refs: DataFrame, links: DataFrame) -> DataFrame:
 
 def sample(targets: DataFrame, limit: int, seed: int = 0) -> DataFrame:
     """One target a domain in a seeded order: the sampling operator of the audit."""
-    one = targets.groupBy("domain").agg(F.min_by(F.struct("*"), "newsroom_url").alias("t")).select("t.*")
+    first = Window.partitionBy("domain").orderBy("newsroom_url")
+    one = targets.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
     return one.orderBy(F.xxhash64("domain", F.lit(seed)), "domain").limit(limit)
 
 
 def waves(targets: DataFrame) -> DataFrame:
     """wave: at most one target of each domain in each."""
     return targets.withColumn("wave", F.row_number().over(Window.partitionBy("domain").orderBy("newsroom_url")))
+
+
+def unreachable(audited: DataFrame, targets: DataFrame) -> DataFrame:
+    """The targets that an earlier run couldn't reach, to be audited again."""
+    return targets.join(audited.where(~F.col("reachable")).select("a_id", "newsroom_url").distinct(), ["a_id", "newsroom_url"], "left_semi")

@@ -32,9 +32,20 @@ def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     return F.round(100 * part / F.when(whole > 0, whole).otherwise(F.lit(1)), digits)
 
 
-def upper_median(values: Column) -> Column:
-    """Element n // 2 of the sorted values; nulls don't count. For groups of bounded size (targets of a run)."""
-    ordered = F.sort_array(F.collect_list(values))
-    return F.when(F.size(ordered) > 0, F.element_at(ordered, F.floor(F.size(ordered) / 2).cast("int") + 1))
+def upper_median(value: str) -> Column:
+    """Element n // 2 of the sorted values of a column; nulls don't count, none gives NULL.
+
+    Exact, from counts by value, which merge before the shuffle: memory follows the number of different values, not of rows.
+    """
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}` DESC)")
+
+
+def relative_age(at: Column, now: Column) -> Column:
+    """How far a time is from now, in whole minutes, hours or days, signed by words; '-' for NULL."""
+    seconds = at.cast("timestamp").cast("double") - now.cast("timestamp").cast("double")
+    gap = F.abs(seconds)
+    whole = lambda unit, mark: F.concat(F.floor(gap / unit).cast("string"), F.lit(mark))
+    size = F.when(gap < 3600, whole(60, "m")).when(gap < 86400, whole(3600, "h")).otherwise(whole(86400, "d"))
+    return F.when(at.isNull(), F.lit("-")).when(seconds > 0, F.concat(F.lit("in "), size)).otherwise(F.concat(size, F.lit(" ago")))
 
 

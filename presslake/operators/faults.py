@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,19 +57,26 @@ def rows(faults: DataFrame, run_id: str | None = None, kind: str | None = None,
     return out.where(F.col("owner") == by) if by is not None else out
 
 
-def tally(faults: DataFrame, policy: bool = True) -> DataFrame:
-    """One ranked row per kind: its domains (sorted), breadth, occurrences, first sample, score and band. Score first, then occurrences, then name.
-
-    The list of domains is part of the report; `breadth` alone is what the ranking reads.
+def tally(faults: DataFrame, policy: bool = True, listed: int = 1000) -> DataFrame:
+    """One ranked row per kind: its domains (sorted, the first `listed`; tally_domains has them all), breadth, occurrences, first sample, score
+    and band. Score first, then occurrences, then name.
     """
     sample = F.min_by(F.struct("sample_url", "sample_detail"), F.when(F.col("sample_detail").isNotNull(), F.struct("first_at", "domain", "run_id")))
-    out = faults.groupBy("kind").agg(F.sort_array(F.collect_set("domain")).alias("domains"), F.count_distinct("domain").alias("breadth"), F.sum("n").alias("occurrences"), sample.alias("_s"))
+    out = faults.groupBy("kind").agg(F.count_distinct("domain").alias("breadth"), F.sum("n").alias("occurrences"), sample.alias("_s"))
+    nth = F.row_number().over(Window.partitionBy("kind").orderBy("domain"))  # a limit that works before the shuffle
+    first = tally_domains(faults).select("kind", "domain").withColumn("_n", nth).where(F.col("_n") <= listed)
+    out = out.join(first.groupBy("kind").agg(F.sort_array(F.collect_list("domain")).alias("domains")), "kind")
     out = out.withColumn("score", attention(F.col("kind"), F.col("breadth"))).withColumn("severity", severity(F.col("kind"))).withColumn("owner", owner(F.col("kind")))
     out = out.withColumn("band", band(F.col("score"))).select("kind", "domains", "breadth", "occurrences", "severity", "owner", "score", "band", "_s.sample_url", "_s.sample_detail")
     out = out if policy else out.where(F.col("owner") != "policy")
     return out.orderBy(F.desc("score"), F.desc("occurrences"), "kind")
 
 
+def tally_domains(faults: DataFrame) -> DataFrame:
+    """kind, domain, occurrences: the domains of each kind as rows, as many as there are."""
+    return faults.groupBy("kind", "domain").agg(F.sum("n").alias("occurrences"))
+
+
 def summarise(faults: DataFrame) -> DataFrame:
     """One row: kinds, domains, occurrences and the occurrences of each owner, none of them missing."""
     own = owner(F.col("kind"))
@@ -108,3 +118,38 @@ def published(faults: DataFrame, run_id: str) -> DataFrame:
     ranked = tally(faults.where(F.col("run_id") == run_id))
     order = Window.orderBy(F.desc("score"), F.desc("occurrences"), "kind")  # over kinds, a closed vocabulary
     return ranked.withColumn("position", F.row_number().over(order)).withColumn("run_id", F.lit(run_id)).withColumn("domains", F.array_join("domains", ","))
+
+
+# ---- runs
+def start_run(runs: DataFrame, run_id: str, started_at: datetime, command: str, scope: str | None = None) -> DataFrame:
+    """runs with a row for the run, in place of one of the same id."""
+    new = runs.sparkSession.createDataFrame([(run_id, started_at, command, scope)], "run_id string, started_at timestamp_ntz, command string, scope string")
+    return runs.where(F.col("run_id") != run_id).unionByName(new, allowMissingColumns=True)
+
+
+def finish_run(runs: DataFrame, run_id: str, ended_at: datetime, domains: int = 0, targets: int = 0, stats: dict | None = None) -> DataFrame:
+    """runs with the outcome of one noted; a run that was never started isn't added."""
+    own = F.col("run_id") == run_id
+    said = None if stats is None else json.dumps(stats)
+    new = {"ended_at": F.lit(ended_at), "domains": F.lit(domains), "targets": F.lit(targets), "stats_json": F.lit(said).cast("string")}
+    return runs.withColumns({c: F.when(own, v.cast(dict(runs.dtypes)[c])).otherwise(F.col(c)) for c, v in new.items()})
+
+
+def new_run_id(now: datetime) -> str:
+    return now.strftime("%Y%m%d-%H%M%S")
+
+
+def run(runs: DataFrame, run_id: str) -> DataFrame:
+    """The one row of a run, or none."""
+    return runs.where(F.col("run_id") == run_id).limit(1)
+
+
+def of_kind(published_rows: DataFrame, kind: str) -> DataFrame:
+    """The published row of one kind, or none."""
+    return published_rows.where(F.col("kind") == kind).limit(1)
+
+
+def recent(faults: DataFrame, runs: DataFrame, newest: int = 1, **filters) -> DataFrame:
+    """Faults of the newest runs, filtered and ordered as a reader sees them."""
+    kept = newest_runs(runs, newest).select("run_id")
+    return rows(faults.join(kept, "run_id", "left_semi"), **filters).orderBy("kind", "domain", "run_id")

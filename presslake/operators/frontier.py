@@ -88,7 +88,74 @@ def make_due(state: DataFrame, now: datetime, domains: list[str] | None = None)
 def forget(targets: DataFrame, domains: list[str] | None = None) -> DataFrame:
     """What discovery cached about the targets is dropped."""
     scope = F.lit(True) if domains is None else F.col("domain").isin(domains)
-    return targets.withColumns({c: F.when(~scope, F.col(c)) for c in ("discovery_method", "feed_url", "feed_absent", "probed_at", "etag", "last_modified") if c in targets.columns})
+    gone = {c: F.when(~scope, F.col(c)) for c in ("discovery_method", "feed_url", "probed_at", "etag", "last_modified") if c in targets.columns}
+    return targets.withColumns(gone | ({"feed_absent": F.col("feed_absent") & ~scope} if "feed_absent" in targets.columns else {}))
+
+
+def release_target(targets: DataFrame, outcomes: DataFrame, now: datetime) -> DataFrame:
+    """targets after outcomes(newsroom_url, success, and any of discovery_method, feed_url, etag, last_modified, p50_body_len, feed_absent).
+
+    Success clears the streak and stamps last_success_at, failure adds one; NULL fields change nothing; a verdict on
+    the feed's absence is stamped with its time, so that it can expire. One outcome of each target.
+    """
+    patch = [c for c in ("discovery_method", "feed_url", "etag", "last_modified", "p50_body_len", "feed_absent") if c in outcomes.columns]
+    out = targets.join(outcomes.select("newsroom_url", F.col("success").alias("_ok"), *[F.col(c).alias(f"_{c}") for c in patch]), "newsroom_url", "left")
+    known, ok = F.col("_ok").isNotNull(), F.coalesce("_ok", F.lit(False))
+    new = {
+        "consec_failures": F.when(ok, F.lit(0)).when(known, F.coalesce("consec_failures", F.lit(0)) + 1).otherwise(F.col("consec_failures")),
+        "last_success_at": F.when(ok, F.lit(now)).otherwise(F.col("last_success_at")),
+    } | {c: F.coalesce(f"_{c}", c) if c in targets.columns else F.col(f"_{c}") for c in patch}
+    if "feed_absent" in patch:
+        new["probed_at"] = F.when(F.col("_feed_absent").isNotNull(), F.lit(now)).otherwise(F.col("probed_at"))
+    return out.withColumns(new).select(*targets.columns, *[c for c in patch if c not in targets.columns])
+
+
+def targets_for(targets: DataFrame, domains: DataFrame) -> DataFrame:
+    """The enabled targets of each of domains(domain), ordered by URL within the domain."""
+    return targets.where("enabled").join(domains.select("domain").distinct(), "domain", "left_semi").orderBy("domain", "newsroom_url")
+
+
+def target(targets: DataFrame, newsroom_url: str) -> DataFrame:
+    """One target, or none."""
+    return targets.where(F.col("newsroom_url") == newsroom_url).limit(1)
+
+
+def acquire(state: DataFrame, targets: DataFrame, owner: str, now: datetime, limit: int = 32, shards: tuple[int, int] = (0, 1024), seconds: int = 600, scheduled: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(state with the next domains leased, a row for each enabled target of the leased domains: domain, newsroom_url, a_id, leased_until).
+
+    A leased domain without targets has one row with a NULL newsroom_url. Both come from the same state, so commit the first before
+    anything else changes it: one writer.
+    """
+    chosen = due(state, now, limit, shards, scheduled)
+    leased = lease(state, chosen, owner, now, seconds)
+    mine = leased.join(chosen.select("domain"), "domain", "left_semi").select("domain", "next_allowed_at", "leased_until")
+    own = targets.where("enabled").select("domain", "newsroom_url", "a_id")
+    return leased, mine.join(own, "domain", "left").orderBy("next_allowed_at", "domain", "newsroom_url").select("domain", "newsroom_url", "a_id", "leased_until")
+
+
+def make_due_for_agency(state: DataFrame, targets: DataFrame, a_id: int, now: datetime) -> DataFrame:
+    """state with the domains of an agency's targets brought forward: due now, free of leases and of their streak."""
+    own = targets.where(F.col("a_id") == a_id).select("domain").distinct().withColumn("_own", F.lit(True))
+    out, mine = state.join(own, "domain", "left"), F.coalesce("_own", F.lit(False))
+    new = {"next_allowed_at": F.lit(now), "leased_until": F.lit(EPOCH), "lease_owner": F.lit(None).cast("string"), "consec_failures": F.lit(0)}
+    return out.withColumns({c: F.when(mine, v).otherwise(F.col(c)) for c, v in new.items()}).drop("_own")
+
+
+def agency_ids(targets: DataFrame) -> DataFrame:
+    return targets.where("a_id IS NOT NULL").select("a_id").distinct()
+
+
+def domains_for(targets: DataFrame, a_id: int) -> DataFrame:
+    return targets.where(F.col("a_id") == a_id).select("domain").distinct()
+
+
+def reset(state: DataFrame, targets: DataFrame, articles: DataFrame, now: datetime, domains: list[str] | None = None, relearn: bool = False, delete: bool = False, confirmed: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(state, targets, articles) with domains due again and, if asked for, what discovery learned and what was stored of them dropped. Without
+    a scope it touches everything, and so has to be confirmed."""
+    if domains is None and not confirmed:
+        raise ValueError("a reset of all domains has to be confirmed")
+    left = articles if not delete else articles.limit(0) if domains is None else articles.where(~F.col("domain").isin(domains))
+    return make_due(state, now, domains), forget(targets, domains) if relearn else targets, left
 
 
 def disable(state: DataFrame, domain: str) -> DataFrame:

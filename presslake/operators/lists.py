@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -50,3 +51,27 @@ def removal_effect(removed: DataFrame, articles: DataFrame, targets: DataFrame)
 
 def removed_since(removed: DataFrame, since: datetime) -> DataFrame:
     return removed.where(F.col("removed_at") >= F.lit(since))
+
+
+def members(rows: DataFrame, key: str, asked: DataFrame) -> DataFrame:
+    """asked(key) with `listed`: whether the list holds each."""
+    return asked.join(rows.select(key, F.lit(True).alias("listed")).distinct(), key, "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+
+
+def without_removed(rows: DataFrame, removed: DataFrame) -> DataFrame:
+    """rows of agencies that weren't removed; rows without an agency stay."""
+    return rows.join(removed.select("a_id").distinct(), "a_id", "left_anti")
+
+
+def reconcile(removed: DataFrame, stores: dict[str, Callable[[DataFrame], None]]) -> list[tuple[str, str | None]]:
+    """Applies the removals to each store by its own function; (store, error or None) of each, so that one store's failure doesn't spare the
+    others. Doing it again changes nothing."""
+    out: list[tuple[str, str | None]] = []
+    for name, apply in stores.items():
+        try:
+            apply(removed)
+        except Exception as e:  # noqa: BLE001 - any failure of a store is its own
+            out.append((name, f"{type(e).__name__}: {e}"))
+        else:
+            out.append((name, None))
+    return out

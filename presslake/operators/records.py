@@ -32,8 +32,9 @@ def _ascii(values: pd.Series) -> pd.Series:
 
 
 def to_ascii(text: Column) -> Column:
-    """ASCII form; texts that are ASCII already never reach Python's slow path."""
-    return _ascii(F.coalesce(text, F.lit("")))
+    """ASCII form; only texts that aren't ASCII cross to Python, the others cross as NULL."""
+    odd = F.when(text.rlike(r"[^\x00-\x7F]"), text)
+    return F.coalesce(_ascii(odd), text, F.lit(""))
 
 
 def lede(template: Column, published: Column) -> Column:

@@ -146,3 +146,62 @@ def html(grid: DataFrame, title: str = "Agency status", most: int = 20_000) -> s
     data = ("[" + ",".join(rows) + "]").replace("</", "<\\/")
     show = "const t=document.querySelector('table');for(const r of JSON.parse(document.getElementById('rows').textContent)){const l=t.insertRow();for(const k of ['severity','health','a_id','domain','articles','reason'])l.insertCell().textContent=r[k]}"
     return f"<!doctype html><meta charset=utf-8><title>{title}</title><table></table><script type=application/json id=rows>{data}</script><script>{show}</script>"
+
+
+# ---- what readers of the grid are given
+COLUMNS = ("a_id", "domain", "newsroom_url", "health", "severity", "reason", "discovery_method", "targets", "targets_cached", "enabled", "needs_browser", "consec_failures", "articles", "articles_recent", "last_article_at", "last_success_at", "next_due_at", "crawl_delay_s", "revisit_period_s")
+
+
+def source_label(method: Column, cached: Column, targets: Column) -> Column:
+    """The source an agency is solved by, with how many of its targets are where not all: '2/3 solved' isn't solved."""
+    part = F.concat(method, F.lit(" ("), cached.cast("string"), F.lit("/"), targets.cast("string"), F.lit(")"))
+    return F.when(F.coalesce(method, F.lit("")) == "", "not solved").when(cached < targets, part).otherwise(method)
+
+
+def as_rows(grid: DataFrame) -> DataFrame:
+    """The grid as its table holds it: the columns in order (NULL where the grid has none), booleans as 0 and 1."""
+    have = dict(grid.dtypes)
+    one = lambda c: F.col(c).cast("int") if have.get(c) == "boolean" else F.col(c) if c in have else F.lit(None)
+    return grid.select(*[one(c).alias(c) for c in COLUMNS])
+
+
+def cast_rows(rows: DataFrame, flags: tuple[str, ...] = ("enabled", "needs_browser")) -> DataFrame:
+    """Rows as readers want them: flags that came as numbers are booleans, times are ISO text."""
+    new = {c: F.col(c) != 0 for c in flags if c in rows.columns and dict(rows.dtypes)[c] != "boolean"}
+    new |= {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss") for c, t in rows.dtypes if t.startswith("timestamp")}
+    return rows.withColumns(new)
+
+
+def summary_row(grid: DataFrame, updated_at: str = "updated_at") -> DataFrame:
+    """One row: total, health and severity as maps of counts (all bands there), and when the grid was last written."""
+    counts = summary(grid)
+    named = lambda kind: F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("word", "n")))))
+    out = counts.agg(F.coalesce(F.sum(F.when(F.col("kind") == "severity", F.col("n"))), F.lit(0)).alias("total"), named("health").alias("health"), named("severity").alias("severity"))  # closed vocabularies
+    fresh = grid.agg(F.max(updated_at).alias("updated_at")) if updated_at in grid.columns else grid.agg(F.max(F.lit(None).cast("timestamp")).alias("updated_at"))
+    return out.join(F.broadcast(fresh))  # one row each
+
+
+def grid_payload(grid: DataFrame, now: datetime, rows: str = "agencies") -> DataFrame:
+    """JSON lines of a payload: first generated_at and summary, then each row under the payload's name, worst first; a page that shows it
+    joins them. Lines, so that no task holds them all."""
+    head = summary_row(grid).select(F.lit(0).alias("_o"), F.to_json(F.struct(F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).alias("generated_at"), F.struct("*").alias("summary")), {"ignoreNullFields": "false"}).alias("json"))
+    each = cast_rows(grid).select(F.lit(1).alias("_o"), F.to_json(F.struct(F.struct("*").alias(rows)), {"ignoreNullFields": "false"}).alias("json"))
+    return head.unionAll(each).select("json")
+
+
+def grid_view(grid: DataFrame, health: str | None = None, unsolved: bool = False, text: str | None = None, by: str | None = None, descending: bool = False) -> DataFrame:
+    """What the interactive grid shows: health, unsolved and text (an exact a_id, or a part of domain or reason) together, in any order of columns."""
+    if health is not None:
+        grid = grid.where(F.col("health") == health)
+    if unsolved:
+        grid = grid.where("targets_cached < targets")
+    if text:
+        low = text.strip().lower()
+        part = lambda c: F.contains(F.lower(F.coalesce(c, F.lit(""))), F.lit(low))
+        grid = grid.where((F.col("a_id").cast("string") == low) | part("domain") | (part("reason") if "reason" in grid.columns else F.lit(False)))
+    return order(grid, by, descending)
+
+
+def agency(grid: DataFrame, a_id: int) -> DataFrame:
+    """The row of one agency, or none."""
+    return grid.where(F.col("a_id") == a_id).limit(1)

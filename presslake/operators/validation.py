@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls
+from ..storage import upsert
+
+KEYS = ("a_id", "newsroom_url")
 
 # ---- fixed values
-THIN_BODY, SPREAD_DAYS, LOW = 500, 120, 0.5
+THIN_BODY, SPREAD_DAYS, LOW, SLUG_LONGER_THAN = 500, 120, 0.5, 18
 # ---- end of fixed values
 
 
@@ -80,3 +85,39 @@ def progress(ledger: DataFrame) -> DataFrame:
     """kind (verdict or code), word, n of ledger(verdict, codes CSV)."""
     words = F.concat(F.array(F.struct(F.lit("verdict").alias("kind"), F.col("verdict").alias("word"))), F.transform(F.filter(F.split(F.coalesce("codes", F.lit("")), ","), lambda x: x != ""), lambda x: F.struct(F.lit("code").alias("kind"), x.alias("word"))))
     return ledger.select(F.explode(words).alias("w")).groupBy("w.kind", "w.word").agg(F.count("*").alias("n"))
+
+
+def content_links(page_links: DataFrame, home_links: DataFrame) -> DataFrame:
+    """target, url: what a newsroom page links of its own: on its host, long enough to be a headline, and not linked from the homepage.
+
+    page_links(target, newsroom_url, url), home_links(target, url); both once for each URL.
+    """
+    host = F.regexp_replace(urls.host(F.col("newsroom_url")), r"^www\.", "")
+    last = F.element_at(F.split(F.regexp_replace(urls.path(F.col("url")), "/+$", ""), "/"), -1)
+    own = page_links.where(F.contains("url", host) & (F.length(last) > SLUG_LONGER_THAN)).select("target", "url").distinct()
+    return own.join(home_links.select("target", "url").distinct(), ["target", "url"], "left_anti")
+
+
+def scraped_links(pages: DataFrame) -> DataFrame:
+    """target, url of pages(target, url, html) by a plain pattern over the markup, fragments aside; canonical, once each."""
+    hrefs = F.explode(F.regexp_extract_all("html", F.lit(r"href=[\x22\x27]([^\x22\x27#]+)"), F.lit(1)))
+    return pages.select("target", F.col("url").alias("_base"), hrefs.alias("_href")).select("target", urls.let(urls.join(F.col("_base"), F.col("_href")), urls.canonical).alias("url")).where("url <> ''").distinct()
+
+
+def record_evidence(evidence: DataFrame, new: DataFrame) -> DataFrame:
+    """Evidence of a run replaces what was held of the same targets (a_id, newsroom_url)."""
+    return upsert(evidence, new, *KEYS)
+
+
+def record_verdicts(ledger: DataFrame, scored: DataFrame, at: datetime, source: str = "auto") -> DataFrame:
+    """ledger with the outcome of scored(a_id, newsroom_url, verdict, codes CSV, overlap, ...) in the rows of its targets; others, and other columns, stay."""
+    patch = [c for c in scored.columns if c not in KEYS and c in ledger.columns]
+    out = ledger.join(scored.select(*KEYS, *[F.col(c).alias(f"_{c}") for c in patch], F.lit(True).alias("_hit")), [*KEYS], "left")
+    stamped = {"state": F.lit("done"), "tested_at": F.lit(at), "source": F.lit(source)}
+    new = {c: F.col(f"_{c}") for c in patch} | {c: v.cast(dict(ledger.dtypes)[c]) for c, v in stamped.items() if c in ledger.columns}
+    return out.withColumns({c: F.when(F.col("_hit"), v).otherwise(F.col(c)) for c, v in new.items()}).select(*ledger.columns)
+
+
+def to_rescore(evidence: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Evidence of targets that the ledger holds, with the verdict they had."""
+    return evidence.join(ledger.select(*KEYS, F.col("verdict").alias("was")), [*KEYS])

@@ -16,7 +16,7 @@ def _pick(expression: str, words) -> str:
     return f"CASE CAST(({expression}) % {len(words)} AS INT) {cases} END"
 
 
-INPUTS = {
+INPUTS: dict[str, str] = {
     "refs": """SELECT page_id AS pos, url AS raw_url, 'https://Example.org/' || CAST(page_id % 7 AS STRING) AS target,
         CASE CAST(page_id % 12 AS INT)
           WHEN 0 THEN url
@@ -72,7 +72,44 @@ INPUTS = {
       FROM orders""",
 }
 
-_TABLES = ("pages", "documents", "customer", "events", "orders")
+_PROSE = "repeat('The council of the town opened a new bridge over the river on Monday, and the mayor said that it would help people get to work. ', 6)"
+#: Braces as chr(), since Spark's parameters are written in braces too.
+_LD = """'<script type="application/ld+json">' || chr(123) || '"@type": "{0}", "{1}": "{2} ' || CAST(doc_id AS STRING) || '", "datePublished": "{3}"' || chr(125) || '</script>'"""
+_ID = "CAST(doc_id AS STRING)"
+INPUTS |= {
+    "article_pages": f"""SELECT doc_id AS page_id, 'https://site.org/' || CASE WHEN doc_id % 8 = 5 THEN '2026/08/17/' ELSE 'news/' END || {_ID} || '-story-of-day' AS url,
+        CASE CAST(doc_id % 8 AS INT)
+          WHEN 0 THEN '<title>Bridge number ' || {_ID} || ' opens | Newsroom</title>'
+          WHEN 1 THEN '<title>Other title of page</title>' || {_LD.format("NewsArticle", "headline", "Structured headline", "2026-08-11")}
+          WHEN 2 THEN '<meta property="og:title" content="News | Site ' || {_ID} || '"><meta property="og:site_name" content="Site ' || {_ID} || '"><meta property="article:published_time" content="2026-08-20T10:00:00Z"><title>Harbour plan ' || {_ID} || ' wins the vote - Site ' || {_ID} || '</title>'
+          WHEN 3 THEN '<meta property="og:title" content="Mayor wins - a story of hope ' || {_ID} || '"><time pubdate datetime="2026-08-12">today</time>'
+          WHEN 4 THEN {_LD.format("WebPage", "name", "Weak name", "2026-08-17")} || '<time class="x published">August 5, 2026</time>'
+          WHEN 5 THEN '<meta name="twitter:title" content="Card title ' || {_ID} || '">'
+          WHEN 6 THEN '<h1>The bridge over the river ' || {_ID} || '</h1><p>Posted on August 21, 2026</p>'
+          ELSE '' END || CASE WHEN doc_id % 8 = 7 THEN '' ELSE '<article><p>' || {_PROSE} || '</p></article>' END AS html
+      FROM documents""",
+    "walls": f"""SELECT doc_id, CASE CAST(doc_id % 5 AS INT) WHEN 0 THEN '<html><title>Just a moment...</title>' WHEN 1 THEN '<p>x</p><script src="https://x.AwsWaf.com/a.js"></script>' WHEN 2 THEN '<title lang="en"> Access Denied </title>'
+          WHEN 3 THEN '<title>News of the day</title>' || repeat('x', 9000) || 'awswaf' ELSE '<title>News</title><p>just a moment</p>' END AS html FROM documents""",
+    "solved": """SELECT 't' || CAST(c_custkey AS STRING) AS target, CASE WHEN c_custkey % 3 = 0 THEN 'https://site.org/' ELSE 'https://site.org/News/' END AS newsroom_url,
+        CASE CAST(c_custkey % 4 AS INT) WHEN 0 THEN 'cms_api' WHEN 1 THEN 'rss' WHEN 2 THEN 'sitemap' ELSE 'listing' END AS discovery_method,
+        CASE WHEN c_custkey % 12 < 6 THEN 'https://site.org/feed' WHEN c_custkey % 3 = 1 THEN 'https://site.org/news/feed/' ELSE 'https://site.org/other/feed.xml' END AS feed_url FROM customer""",
+    "sites": """SELECT c_custkey AS site_id, 'site' || CAST(c_custkey AS STRING) || '.org' AS domain, c_custkey % 11 <> 0 AS ok, CAST(CASE WHEN c_custkey % 7 = 0 THEN 404 ELSE 200 END AS INT) AS newsroom_status,
+        CASE WHEN c_custkey % 13 = 0 THEN 'just a moment' ELSE NULL END AS wall, c_custkey % 17 <> 0 AS robots_allows, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE '10.0.0.' || CAST(c_custkey % 97 AS STRING) END AS resolved_ip,
+        c_custkey % 10 = 0 AS has_news_sitemap, CASE WHEN c_custkey % 4 = 0 THEN 'https://s/sitemap.xml' ELSE NULL END AS sitemap_url, CASE WHEN c_custkey % 3 = 0 THEN 'https://s/feed' ELSE NULL END AS feed_url,
+        CASE CAST(c_custkey % 6 AS INT) WHEN 0 THEN 'autodiscovery' WHEN 3 THEN 'probe' ELSE NULL END AS feed_source, c_custkey % 12 = 0 AS feed_full, CASE WHEN c_custkey % 9 = 0 THEN 'https://s/wp-json' ELSE NULL END AS cms_api_url,
+        CASE WHEN c_custkey % 10 = 0 THEN 'news_sitemap' WHEN c_custkey % 9 = 0 THEN 'cms_api' WHEN c_custkey % 3 = 0 THEN 'rss' WHEN c_custkey % 4 = 0 THEN 'sitemap' ELSE 'listing' END AS discovery_method,
+        c_custkey % 3 = 1 AS wp_detected, c_custkey % 2 = 0 AS wp_json_reachable, CAST(CASE WHEN c_custkey % 8 = 0 THEN 500 ELSE 200 END AS INT) AS article_status, c_custkey % 5 = 1 AS has_jsonld, c_custkey % 6 = 1 AS jsonld_has_headline, c_custkey % 7 = 1 AS jsonld_has_date,
+        c_custkey % 50 = 1 AS jsonld_has_articlebody, CAST(c_custkey * 37 % 5000 AS INT) AS text_chars, c_custkey % 14 = 0 AS needs_browser, c_custkey % 15 = 0 AS has_hydration_payload FROM customer""",
+    "legacy": """SELECT CASE WHEN o_orderkey % 19 = 0 THEN 'x' || CAST(o_orderkey AS STRING) ELSE CAST(o_orderkey % 5000 AS STRING) END AS a_id, CASE WHEN o_orderkey % 23 = 0 THEN 'nothing' ELSE 'https://site' || CAST(o_custkey AS STRING) || '.org/news' END AS newsroom_url,
+        CAST(CASE WHEN o_orderkey % 29 = 0 THEN 2 ELSE 3 END AS INT) AS fields FROM orders""",
+    "agency_rows": """SELECT c_custkey AS a_id, CASE WHEN c_custkey % 11 = 0 THEN '' ELSE ' p' || CAST(c_custkey AS STRING) END AS filename, CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'WASHINGTON, DATE -- ' ELSE 'No dateline' END AS leads,
+        CAST(c_nationkey AS INT) AS ug_id, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_name END AS agency_name FROM customer""",
+    "group_rows": """SELECT CAST(n_nationkey AS INT) AS ug_id, CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE 'user' || CAST(n_nationkey AS STRING) END AS uname, n_name AS descrip FROM nation""",
+    "wire": f"""SELECT doc_id AS pr_id, CASE WHEN doc_id % 17 = 0 THEN '' ELSE {_pick("doc_id", ("D", "P", None, "D"))} END AS status, CAST(DATE '2026-08-29' - CAST(doc_id % 3 AS INT) AS TIMESTAMP) AS create_date, '$H ' || {_ID} AS filename, CAST(doc_id % 60 AS INT) AS a_id FROM documents""",
+    "requests": """SELECT CAST(o_orderkey % 400 AS INT) AS a_id, CASE WHEN o_orderkey % 13 = 0 THEN 'nowhere' ELSE 'https://www.site' || CAST(o_custkey % 200 AS STRING) || '.org/news/' END AS newsroom_url, o_orderkey AS seq FROM orders""",
+}
+
+_TABLES = ("nation", "pages", "documents", "customer", "events", "orders")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

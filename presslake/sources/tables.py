@@ -31,9 +31,32 @@ def seed_list(spark: SparkSession, path: str) -> DataFrame:
 
 def quality_report(rows: DataFrame) -> DataFrame:
     """problem, n over rows(a_id STRING, newsroom_url, fields INT): what is wrong with a legacy list."""
-    dup = lambda c: rows.groupBy(c).count().where(f"count > 1 AND {c} IS NOT NULL").select(F.explode(F.array_repeat(F.lit(f"duplicate_{c}"), (F.col("count") - 1).cast("int"))).alias("problem"))
+    dup = lambda c: rows.groupBy(c).count().where(f"count > 1 AND {c} IS NOT NULL").select(F.lit(f"duplicate_{c}").alias("problem"), (F.col("count") - 1).alias("n"))
     own = F.array_compact(F.array(F.when(F.col("fields") != 3, F.lit("field_count")), F.when(F.col("a_id").try_cast("int").isNull(), F.lit("bad_a_id")), F.when(urls.host(F.col("newsroom_url")) == "", F.lit("bad_url"))))
-    return rows.select(F.explode(own).alias("problem")).unionAll(dup("a_id")).unionAll(dup("newsroom_url")).groupBy("problem").agg(F.count("*").alias("n"))
+    found = rows.select(F.explode(own).alias("problem"), F.lit(1).cast("long").alias("n")).unionAll(dup("a_id")).unionAll(dup("newsroom_url"))
+    return found.groupBy("problem").agg(F.sum("n").alias("n"))
+
+
+def clean_targets(rows: DataFrame, seed: int = 0, sample: int | None = None) -> DataFrame:
+    """a_id, newsroom_url, domain of the usable rows of a legacy list, the first (least a_id) of each URL; a seeded sample of different domains if asked for."""
+    usable = rows.withColumns({"a_id": F.col("a_id").try_cast("int"), "newsroom_url": F.trim("newsroom_url"), "domain": urls.registrable_domain(F.col("newsroom_url"))})
+    usable = usable.where((urls.host(F.col("newsroom_url")) != "") & F.contains("domain", F.lit(".")))
+    out = usable.groupBy("newsroom_url").agg(F.min("a_id").alias("a_id"), F.min("domain").alias("domain")).select("a_id", "newsroom_url", "domain")
+    if sample is None:
+        return out
+    one = out.groupBy("domain").agg(F.min_by(F.struct("a_id", "newsroom_url"), "newsroom_url").alias("t"))
+    return one.orderBy(F.xxhash64("domain", F.lit(seed)), "domain").limit(sample).select("t.a_id", "t.newsroom_url", "domain")
+
+
+def top_counts(rows: DataFrame, column: str, limit: int = 15) -> DataFrame:
+    """The commonest values of a column, the first by name of equals."""
+    return rows.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(limit)
+
+
+def stored_audit(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Measurements of audit JSON lines: what is derived (findings, score, verdict) is left out, to be judged anew; bad lines are skipped."""
+    rows = spark.read.text(path).select(F.from_json("value", schema).alias("r")).where("r.a_id IS NOT NULL").select("r.*")
+    return rows.drop("findings", "score", "verdict")
 
 
 def archive(spark: SparkSession, path: str, schema: str) -> DataFrame:

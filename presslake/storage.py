@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import tempfile
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut in the shared folder that the session names in spark.checkpoint.dir; one of our own where none is set."""
+    """df with its lineage cut in the shared folder that the session names in spark.checkpoint.dir; one of our own only on one machine."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="presslake-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="presslake-"))
     return df.checkpoint(eager=True)
 
 
@@ -29,17 +33,48 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def publish(df: DataFrame, path: str) -> None:
-    """The table becomes df: written beside it, then renamed, so a reader sees the old rows or the new."""
+POINTER = "_current"
+
+
+def published_path(spark: SparkSession, path: str) -> str | None:
+    """Where the table's present version lies; NULL before the first."""
+    fs, pointer = _fs(spark, f"{path}/{POINTER}")
+    if not fs.exists(pointer):
+        return None
+    stream = fs.open(pointer)
+    try:
+        return f"{path}/{bytes(stream.readAllBytes()).decode()}"
+    finally:
+        stream.close()
+
+
+def publish(df: DataFrame, path: str, keep: int = 2) -> None:
+    """The table becomes df: written as a version of its own, then named by one small file, so a reader sees the old rows or the new
+    ones on any store, object stores too. The newest `keep` versions stay for readers that are under way."""
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}.new")
-    fs, old = _fs(spark, path)
-    gone = _fs(spark, f"{path}.old")[1]
-    fs.delete(gone, True)
-    if fs.exists(old):
-        fs.rename(old, gone)
-    fs.rename(_fs(spark, f"{path}.new")[1], old)
-    fs.delete(gone, True)
+    version = f"v{time.time_ns():020d}"
+    df.write.parquet(f"{path}/{version}")
+    fs, pointer = _fs(spark, f"{path}/{POINTER}")
+    out = fs.create(pointer, True)
+    try:
+        out.write(bytearray(version.encode()))
+    finally:
+        out.close()
+    versions = sorted(s.getPath().getName() for s in fs.listStatus(_fs(spark, path)[1]) if s.getPath().getName().startswith("v"))
+    for old in versions[: -max(1, keep)]:
+        fs.delete(_fs(spark, f"{path}/{old}")[1], True)
+
+
+def published(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The published table; no rows before the first version."""
+    return read(spark, published_path(spark, path) or f"{path}/none", schema)
+
+
+def safe_identifier(name: str) -> str:
+    """name, if it may stand in SQL as it is: letters, digits and underscores."""
+    if not name.replace("_", "").isalnum():
+        raise ValueError(f"unsafe schema identifier: {name!r}")
+    return name
 
 
 def upsert(stored: DataFrame, new: DataFrame, *keys: str) -> DataFrame:

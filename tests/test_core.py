@@ -128,8 +128,8 @@ def test_health(spark, row, want):
 def test_upper_median_and_audit(spark):
     from presslake.operators.columns import upper_median
 
-    assert spark.createDataFrame([(1.0,), (2.0,), (2.0,), (5.0,), (None,)], "v double").agg(upper_median(F.col("v"))).first()[0] == 2.0
-    assert spark.createDataFrame([(1.0,), (3.0,)], "v double").agg(upper_median(F.col("v"))).first()[0] == 3.0
+    assert spark.createDataFrame([(1.0,), (2.0,), (2.0,), (5.0,), (None,)], "v double").agg(upper_median("v")).first()[0] == 2.0
+    assert spark.createDataFrame([(1.0,), (3.0,)], "v double").agg(upper_median("v")).first()[0] == 3.0
 
 
 def test_filename_ladder(spark):
@@ -209,9 +209,11 @@ def test_archive_purge_and_storage(spark, tmp_path):
     path = str(tmp_path / "table")
     for n in (3, 2):
         storage.publish(spark.range(n), path)
-    assert spark.read.parquet(path).count() == 2 and storage.read(spark, path, "id long, more string").columns == ["id", "more"]
-    storage.append_new(spark.range(4), path, "id")
-    assert spark.read.parquet(path).count() == 4
+    assert storage.published(spark, path, "id long, more string").columns == ["id", "more"] and storage.published(spark, path, "id long").count() == 2
+    log = f"{path}-log"
+    for n in (2, 4):
+        storage.append_new(spark.range(n), log, "id")
+    assert spark.read.parquet(log).count() == 4
 
 
 def test_sites(spark):
