@@ -1,7 +1,9 @@
 """The corpus pipeline: toxic documents go, one document of each near-duplicate group stays, secrets are
 redacted, sources are mixed to target weights, and what is left is encoded to SentencePiece ids.
 
-Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept.
+Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. Null and empty texts
+pass through every stage once; rows without an id are judged like others but are copies of nothing; rows that repeat id and text are one
+document from the second stage on; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,20 +32,25 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix_encoding.encode(docs, pieces.load(PIECE_MODEL))
+    """Ids, with language, source and length (which tells a cut copy from a whole one); rows of a document taken twice are alike."""
+    return suffix_encoding.encode(docs, pieces.load(PIECE_MODEL), ("lang", "source", "n_chars"))
 
 
 STAGES = [("toxicity", drop_toxic), ("minhash_near_dedup", drop_copies), ("secret_scans", redact_secrets), ("mixing", mix_sources), ("sentencepiece", encode)]
 
-#: A trained classifier and an automaton are no SQL; tests hold the stages against brute force.
+#: A trained classifier and an automaton are no SQL; tests/llm/test_pipeline.py holds each stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on documents. Each result but the last is written to the shared folder and read again."""
-    docs, scratch = read(spark, sf_dir, "documents"), Scratch(spark)
+    """All stages on documents. Each result but the last is written to the shared folder and read again; it goes when the next one is written."""
+    docs, before = read(spark, sf_dir, "documents"), None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
+            scratch = Scratch(spark)
             docs = scratch.store(docs)
+            if before is not None:
+                before.clear()
+            before = scratch
     return docs
