@@ -273,3 +273,15 @@ def list_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resolver_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG25."""
     return politeness.resolver_alarm(load(spark, sf_dir, "responses"))
+
+
+# ---- text
+@query(r"""WITH l AS (SELECT doc_id, text, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS ls,
+  list_filter(regexp_extract_all(lower(substr(text, 1600, 80)), '[\p{L}\p{N}_]+'), lambda w: length(w) > 2 AND w NOT IN ('the', 'and', 'for', 'with', 'from', 'that', 'this', 'are', 'was', 'has', 'its', 'new', 'will', 'after', 'over', 'into')) AS hw,
+  lower(substr(text, 1, 1500)) AS opening FROM documents)
+SELECT doc_id, CASE WHEN text IS NULL OR len(ls) = 0 THEN 0.0 ELSE round_even((len(list_filter(ls, lambda x: length(x) >= 60)) / len(ls) + least(1.0, len(regexp_extract_all(text, '(?:^|[^A-Z])[.!?](?:\s+[A-Z"“]|\s*$)')) / greatest(1.0, length(text) / 150.0))) / 2, 3) END AS prose_ratio,
+  CASE WHEN len(hw) = 0 THEN 1.0 ELSE round_even(len(list_filter(hw, lambda w: contains(opening, w))) / len(hw), 3) END AS coherence FROM l""")
+def prose_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT15, EXT23: the lookbehind of sentence ends is restated as a character in front; a headline from the middle of a text against its opening."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", text.prose_ratio(F.col("text")).alias("prose_ratio"), text.coherence(F.substring("text", 1600, 80), F.col("text")).alias("coherence"))
