@@ -2,7 +2,7 @@
 
 Shape of the job, for N documents of which M differ in their shingle sets:
 
-1. One pass over the texts gives each document's set (64-bit shingle hashes), a 128-bit name of that
+1. One pass over the texts, written once, gives each document's set (64-bit shingle hashes), a 128-bit name of that
    set, its band keys and a sketch of its signature. Documents of equal sets meet by name under a
    pre-aggregating groupBy, so copies cost one row from there on.
 2. Bands are counted by key with map-side combining; keys of one row (nearly all) drop out. In every
@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import Scratch, map_batches, nested
 
 BANDS, ROWS = 45, 6
+#: Bits of the filter of members (4 MB), and places over which a hot centre is dealt.
+FILTER_BITS, SALTS = 1 << 25, 16
 #: Minima of which the sketch keeps a byte; a pair is dropped if fewer than SKETCH_LEAST agree: 6 standard deviations below the mean at 0.8.
 SKETCH, SKETCH_LEAST = 128, 0.58
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -95,21 +97,8 @@ def set_name(hashes: np.ndarray) -> bytes | None:
 _NAMED = [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary())]
 
 
-def _named(docs: DataFrame, width: int) -> DataFrame:
-    def start():
-        shingler = Shingler(width)
-
-        def f(batch):
-            sets = [shingler(t) for t in batch.column(1).to_pylist()]
-            return [batch.column(0), [len(s) for s in sets], [set_name(s) for s in sets]]
-
-        return f
-
-    return map_batches(docs, pa.schema(_NAMED), start)
-
-
 def _signed(docs: DataFrame, width: int) -> DataFrame:
-    """Named rows of non-empty sets with band keys and sketch."""
+    """Every row with its set's size, name, band keys and sketch; a row without words or without an id has no name and no bands."""
     out = pa.schema([*_NAMED, ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
     def start():
@@ -117,21 +106,17 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
         salts = np.arange(BANDS, dtype=np.uint64)
 
         def f(batch):
-            ids, counts, names, signatures = [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hashes = shingler(text)
-                if len(hashes) and doc_id is not None:
-                    ids.append(doc_id)
-                    counts.append(len(hashes))
-                    names.append(set_name(hashes))
-                    signatures.append(minima(hashes))
-            m = np.array(signatures, dtype=np.uint32).reshape(-1, BANDS, ROWS)
+            sets = [shingler(t) for t in batch.column(1).to_pylist()]
+            signed = [len(s) > 0 and i is not None for i, s in zip(batch.column(0).to_pylist(), sets, strict=True)]
+            m = np.array([minima(s) for s, has in zip(sets, signed, strict=True) if has], dtype=np.uint32).reshape(-1, BANDS, ROWS)
             keys = np.broadcast_to(salts, (len(m), BANDS))
             for k in range(ROWS):
                 keys = _mixed(keys * _STEP + m[:, :, k].astype(np.uint64))
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(0, len(m) * BANDS + 1, BANDS), pa.int32()), pa.array(keys.ravel().view(np.int64)))
+            at = np.concatenate([[0], np.cumsum(signed)]).astype(np.int32)
+            bands = pa.ListArray.from_arrays(pa.array(at * BANDS), pa.array(keys.ravel().view(np.int64)))
             low = m.reshape(len(m), BANDS * ROWS)[:, :SKETCH].astype(np.uint8)
-            return [ids, counts, names, bands, [row.tobytes() for row in low]]
+            sketches = [low[i].tobytes() if has else None for i, has in zip(at[:-1].tolist(), signed, strict=True)]
+            return [batch.column(0), [len(s) for s in sets], [set_name(s) if has else None for s, has in zip(sets, signed, strict=True)], bands, sketches]
 
         return f
 
@@ -201,6 +186,27 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     return stars.unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+class _Members:
+    """A Bloom filter of ids, FILTER_BITS bits whatever the data: who is in it passes, and so do a few others."""
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits = bits
+
+    @classmethod
+    def of(cls, ids: DataFrame) -> _Members:
+        """Of a column doc_id. The words of the filter are put together by a pre-aggregating groupBy and come to the driver as FILTER_BITS / 64 rows at most."""
+        places = F.explode(F.array(*[F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(FILTER_BITS)) for k in range(2)]))
+        words = ids.select(places.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(p & 63 AS INT))")).alias("b")).toPandas()
+        bits = np.zeros(FILTER_BITS >> 6, dtype=np.int64)
+        bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+        return cls(bits.view(np.uint64))
+
+    def passed(self, places: np.ndarray) -> np.ndarray:
+        """places[n, 2]: which rows have both their bits set."""
+        words = self.bits[places >> 6] >> (places & 63).astype(np.uint64)
+        return ((words & np.uint64(1)) != 0).all(axis=1)
+
+
 def near_duplicates(docs: DataFrame, width: int = 2, part: int = 80, whole: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept (doc_id = component_id).
 
@@ -211,8 +217,10 @@ def near_duplicates(docs: DataFrame, width: int = 2, part: int = 80, whole: int
     """
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     scratch = Scratch(docs.sparkSession)
-    signed = _signed(docs, width)
-    classes = scratch.store(signed.groupBy("set_id").agg(F.min("doc_id").alias("node"), *[F.any_value(c).alias(c) for c in ("n_shingles", "bands", "sketch")]))
+    kept = Scratch(docs.sparkSession)  # what the result still reads
+    signed = kept.store(_signed(docs, width))
+    named = signed.where("set_id IS NOT NULL").groupBy("set_id")
+    classes = scratch.store(named.agg(F.min("doc_id").alias("node"), *[F.any_value(c).alias(c) for c in ("n_shingles", "bands", "sketch")]))
 
     rows = classes.select("node", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -224,17 +232,21 @@ def near_duplicates(docs: DataFrame, width: int = 2, part: int = 80, whole: int
     sketches = classes.select("node", "sketch")
     members = buckets.select(F.col("node").alias("doc_id")).distinct()
 
+    # a bounded filter of the members travels to the texts, so that no text is shuffled; sets of others that pass are met by no pair
+    filter_ = docs.sparkSession.sparkContext.broadcast(_Members.of(members))
+
     def start():
         shingler = Shingler(width)
 
         def f(batch):
-            return [batch.column(0), [shingler(t).tobytes() for t in batch.column(1).to_pylist()]]
+            places = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3)], axis=1)
+            ours = batch.filter(pa.array(filter_.value.passed(places)))
+            return [ours.column(0), [shingler(t).tobytes() for t in ours.column(1).to_pylist()]]
 
         return f
 
-    texts = docs.hint("merge").join(members, "doc_id", "left_semi")
-    hashed = map_batches(texts, pa.schema([("node", pa.int64()), ("hashes", pa.binary())]), start)
-    sets = scratch.store(hashed)
+    placed_docs = docs.where("doc_id IS NOT NULL").select("doc_id", "text", *[F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(FILTER_BITS)).alias(f"p{k}") for k in range(2)])
+    sets = scratch.store(map_batches(placed_docs, pa.schema([("node", pa.int64()), ("hashes", pa.binary())]), start))
 
     pairs = buckets.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
     enough = F.col("common") * whole >= F.col("both") * part
@@ -244,7 +256,10 @@ def near_duplicates(docs: DataFrame, width: int = 2, part: int = 80, whole: int
     # centres whose members are of several components, with what each member has in common with the centre
     spoked = buckets.select("node", "rep").distinct().join(labels, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("label"))
     mixed = spoked.groupBy("rep").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("rep")
-    spoked = scratch.store(spoked.join(mixed, "rep").join(classes.select("node", "n_shingles"), "node"))
+    # a centre of very many members is dealt over SALTS places; what is copied there is one number
+    salted = spoked.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    copies = mixed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spoked = scratch.store(salted.join(copies, ["rep", "_salt"]).drop("_salt").join(classes.select("node", "n_shingles"), "node"))
     measured = _compared(spoked.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")), sets, beside=True)
     placed = spoked.join(measured.withColumnsRenamed({"a": "node", "b": "rep"}), ["node", "rep"], "left")
     placed = scratch.store(placed.select("node", "rep", "label", F.col("n_shingles").alias("n"), F.coalesce("common", "n_shingles").alias("common"), F.coalesce("both", "n_shingles").alias("both"), F.coalesce("beside", F.array().cast("array<bigint>")).alias("beside")))
@@ -276,9 +291,9 @@ def near_duplicates(docs: DataFrame, width: int = 2, part: int = 80, whole: int
 
     # each class's members get the component of its smallest id
     out = labels.join(classes.select("node", "set_id"), "node", "right").select("set_id", F.coalesce("component", "node").alias("class_component"))
-    out = Scratch(docs.sparkSession).store(out)
+    out = kept.store(out)
     scratch.clear()
-    joined = _named(docs, width).join(out, "set_id", "left")
+    joined = signed.select("doc_id", "n_shingles", "set_id").join(out, "set_id", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("class_component", "doc_id")).otherwise(F.col("doc_id"))
     joined = joined.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
     return joined.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
