@@ -14,6 +14,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import map_batches
 from .pieces import MARK, UNKNOWN, Vocabulary, pre_tokens
@@ -204,13 +205,15 @@ def _encoder(vocabulary: Vocabulary) -> Encoder:
 ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, n_tokens, ids of every whole text, and round_trip: whether decoding the ids gives the text again.
+def encode(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids of every whole text, round_trip (whether decoding the ids gives the text again) and the columns of keep as they are.
 
     A literal U+2581 is the vocabulary's space mark and decodes to a space; round_trip allows for that
     alone. Null text has null ids, 0 tokens and a null round_trip; empty text has no ids. Null doc_ids stay, repeated rows each give a row, an
-    empty table gives none; no other column is read.
+    empty table gives none; no other column is read, and none of keep may bear the name of an output.
     """
+    if clash := {*keep} & {f.name for f in ENCODED}:
+        raise ValueError(f"columns that the encoding makes itself: {sorted(clash)}")
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the size of the vocabulary file, whatever the data
 
     def start():
@@ -222,11 +225,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             null = [t is None for t in texts]
             good = [None if t is None else encoder.decode(ids[a:b]) == t.replace(MARK, " ") for t, a, b in zip(texts, at[:-1], at[1:], strict=True)]
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids), mask=pa.array(null))
-            return [batch.column(0), np.diff(at), lists, good]
+            return [batch.column(0), np.diff(at), lists, good, *batch.columns[2:]]
 
         return f
 
-    return map_batches(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), ENCODED, start)
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text", *keep)
+    return map_batches(rows, pa.schema([*ENCODED, *to_arrow_schema(rows.select(*keep).schema)]), start)
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:

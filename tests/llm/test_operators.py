@@ -265,12 +265,46 @@ def test_search_against_brute_force(spark):
     assert additive_search.search(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
-def test_pipeline_stages_keep_columns(spark):
-    import corpus_pipeline
-
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "minhash_near_dedup", "secret_scans", "mixing", "sentencepiece"]
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, "/root/testdata/sf0.001")
-        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
-    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").where("round_trip").count() > 0
+def test_languages_against_fresh_compressors():
+    import zstandard
+
+    rnd = random.Random(5)
+    dictionaries = {k: (" ".join(rnd.choices(v, k=400))).encode() for k, v in {"en": ["the", "and", "house", "which"], "de": ["der", "und", "haus", "welche"], "fr": ["le", "et", "maison", "quelle"]}.items()}
+    model = language.CompressionClassifier(dictionaries)
+    texts = [" ".join(rnd.choices(["the", "der", "le", "haus", "house", "maison", "et", "und", "and", "xyz"], k=rnd.randint(1, 900))) for _ in range(60)] + ["1 2 3", "", None, "é"]
+    for text in texts:
+        if not text or not re.search(r"[^\W\d_]", text):
+            assert model.predict(text) == ("und", 0.0)
+            continue
+        data = re.sub(r"[\W\d_]+", " ", text.lower()).strip().encode()
+        sizes = {}
+        for name, content in dictionaries.items():
+            total = 0
+            for at in range(0, len(data), 2048):
+                raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                total += len(zstandard.ZstdCompressor(level=6, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False).compress(data[at : at + 2048]))
+            sizes[name] = total
+        ranked = sorted(sizes, key=lambda n: (sizes[n], list(sizes).index(n)))
+        got, margin = model.predict(text)
+        assert got == ranked[0] and abs(margin - (1 - sizes[ranked[0]] / sizes[ranked[1]])) < 1e-12
+
+
+def test_too_many_languages_are_refused(spark):
+    rows = [(i, f"text {i}", f"l{i}") for i in range(12)]
+    with pytest.raises(ValueError, match="languages"):
+        language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_languages=5)
+
+
+def test_three_grades_held_out():
+    rnd = random.Random(9)
+    texts, grades = [], []
+    for i in range(900):
+        grade = i % 3
+        body = rnd.choices([f"w{k}" for k in range(300)], k=30) + rnd.choices(["mild", "milder"], k=2 if grade == 1 else 0) + rnd.choices(["awful", "worst"], k=3 if grade == 2 else 0)
+        rnd.shuffle(body)
+        texts.append(" ".join(body))
+        grades.append(grade)
+    model = toxicity.fit(texts[:600], grades[:600])
+    severity = toxicity._judged(model, texts[600:], 0.5)[0]
+    means = [np.mean([s for s, g in zip(severity, grades[600:], strict=True) if g == k]) for k in range(3)]
+    assert len(model.bounds) == 2 and means[0] < 0.4 < means[1] and means[1] + 0.3 < means[2]
