@@ -206,12 +206,6 @@ def fault_severity_by_host(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _faults(spark, sf_dir).groupBy(F.substring("domain", 5, 9).cast("int").alias("host")).agg(F.max(faults.severity(F.col("kind"))).alias("severity"))
 
 
-@query()
-def fault_worst_for_agency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG9."""
-    return faults.worst_for_agency(_faults(spark, sf_dir))
-
-
 _ACC = _sql_map("access", {"js_rendered": 1, "unresolved": 2, "challenge": 3, "refused": 4}, 0)
 _FOLD = f""", w AS (SELECT *, row_number() OVER o AS rn, max(last_success_at) OVER (PARTITION BY a_id ORDER BY domain, newsroom_url ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS bef FROM targets WINDOW o AS (PARTITION BY a_id ORDER BY domain, newsroom_url)),
 b AS (SELECT *, CASE WHEN rn = 1 OR (last_success_at IS NOT NULL AND (bef IS NULL OR last_success_at > bef)) THEN rn END AS k FROM w),

@@ -101,8 +101,8 @@ f AS (SELECT run_id, kind, domain, a_id, first_at, detail, CASE WHEN kind IN ('d
   CASE WHEN kind IN ('robots', 'wall') THEN 'policy' WHEN kind IN ('tls', 'connect', 'timeout', 'http_5xx', 'discover_failed', 'extract_no_headline', 'extract_body_too_short', 'extract_no_date') THEN 'site' ELSE 'us' END AS own FROM x WHERE rn = 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY sev DESC, CASE WHEN own = 'us' THEN 0 ELSE 1 END, first_at, run_id, kind, domain) AS n FROM f WHERE a_id IS NOT NULL)
 SELECT a_id, kind AS fault_kind, coalesce(detail, '') AS fault_detail FROM r WHERE n = 1""")
-def fault_worst_by_agency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG9, held against SQL."""
+def fault_worst_for_agency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG9."""
     return faults.worst_for_agency(_faults(spark, sf_dir))
 
 
