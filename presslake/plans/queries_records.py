@@ -79,10 +79,10 @@ def lease_reclaim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontier.reclaim(load(spark, sf_dir, "domain_state"), AS_OF).select("domain", (F.col("leased_until") == F.lit(frontier.EPOCH)).alias("free"))
 
 
-@query(cte("targets") + """, t AS (SELECT DISTINCT domain FROM targets WHERE a_id = 17) SELECT domain FROM t WHERE domain NOT IN (SELECT domain FROM targets WHERE a_id <> 17)""")
+@query(cte("targets") + """, t AS (SELECT a_id, 'site' || a_id % 299 AS domain FROM targets) SELECT DISTINCT domain FROM t WHERE a_id = 17 AND domain NOT IN (SELECT domain FROM t WHERE a_id <> 17)""")
 def orphan_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN9, SNK8: what a removed agency leaves without targets."""
-    t = load(spark, sf_dir, "targets")
+    t = load(spark, sf_dir, "targets").withColumn("domain", F.concat(F.lit("site"), (F.col("a_id") % 299).cast("string")))
     state = t.select("domain").distinct()
     return state.join(frontier.remove_agency(t, state, 17)[1], "domain", "left_anti")
 
@@ -128,7 +128,7 @@ def run_bookkeeping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- articles and the wire
 @query(cte("articles") + """, p AS (SELECT doc_id, url, domain, a_id FROM articles WHERE tns_state IS NULL OR tns_state = 'error'), r AS (SELECT url, max(doc_id) AS last FROM articles WHERE doc_id % 2 = 0 GROUP BY url)
-SELECT p.doc_id AS h, p.url, coalesce(r.last % 60, p.a_id, 0) AS a_id, r.last IS NOT NULL AND r.last % 9 <> 0 AS ready FROM p LEFT JOIN r USING (url)""")
+SELECT p.doc_id AS h, p.url, coalesce(nullif(r.last % 60, 0), p.a_id, 0) AS a_id, r.last IS NOT NULL AND r.last % 9 <> 0 AS ready FROM p LEFT JOIN r USING (url)""")
 def wire_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN14, ORD6, SRC4: what waits to be loaded, with its body where the archive has one."""
     rows = load(spark, sf_dir, "articles")
