@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -22,6 +23,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release() -> None:
+    """Hands what a finished task has freed back to the system: workers live on between tasks, and what they hoard counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def map_batches(df: DataFrame, out: pa.Schema, start: Callable[[], Callable[[pa.RecordBatch], list]], slice_bytes: int = 4 << 20) -> DataFrame:
     """mapInArrow with one `start()` a task; what it returns turns a record batch into columns for `out`.
 
@@ -34,12 +42,16 @@ def map_batches(df: DataFrame, out: pa.Schema, start: Callable[[], Callable[[pa.
 
     def run(batches):
         f = start()
-        for whole in batches:
-            rows = max(1, whole.num_rows * slice_bytes // max(1, whole.nbytes))
-            for at in range(0, whole.num_rows, rows):
-                columns = f(whole.slice(at, rows))
-                arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=t.type) for c, t in zip(columns, out, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, schema=out)
+        try:
+            for whole in batches:
+                rows = max(1, whole.num_rows * slice_bytes // max(1, whole.nbytes))
+                for at in range(0, whole.num_rows, rows):
+                    columns = f(whole.slice(at, rows))
+                    arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=t.type) for c, t in zip(columns, out, strict=True)]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=out)
+        finally:
+            del f
+            release()
 
     return df.mapInArrow(run, from_arrow_schema(out))
 
