@@ -166,17 +166,23 @@ def _compared(pairs: DataFrame, sets: DataFrame, beside: bool = False) -> DataFr
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """node, component (its smallest reachable node) for every node of links(a, b), by alternating large-star and small-star.
 
-    Minima are taken by pre-aggregating groupBys, so the neighbours of a hub are never gathered; the edges
-    are written to the shared folder after each round.
+    Minima are taken by pre-aggregating groupBys, so the neighbours of a hub are never gathered, and are met by its edges at
+    SALTS places; the edges are written to the shared folder after each round.
     """
+    places = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+
+    def met(edges: DataFrame, least: DataFrame) -> DataFrame:
+        """edges(u, v) with m of least(u, m)."""
+        return edges.withColumn("_s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(least.withColumn("_s", places), ["u", "_s"]).drop("_s")
+
     edges = scratch.store(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = met(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionAll(least.select("u", F.col("m").alias("v"))).distinct()
+        small = met(large, least).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionAll(least.select("u", F.col("m").alias("v"))).distinct()
         edges = scratch.store(small)
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
