@@ -168,6 +168,11 @@ def test_feeds_sitemaps_and_robots(spark):
     assert [(x.url, x.headline) for x in feeds.wordpress_refs(spark.createDataFrame([(1, wp), (2, "{}")], "doc long, body string")).collect()] == [("https://x.org/p", "T")]
 
 
+def test_a_year_in_the_host_ranks_no_sitemap(spark):
+    rows = spark.createDataFrame([("https://site2012.org/page-map",), ("https://site2012.org/archive-2026",), ("https://site2012.org/map?y=2026",), ("https://news.site.org/map",)], "url string")
+    assert [r.p for r in rows.select(feeds.sitemap_priority(F.col("url"), F.lit(None).cast("string")).alias("p")).collect()] == [4, 3, 3, 1]
+
+
 def test_page_facts_and_record(spark):
     ld = json.dumps({"@graph": [{"@type": ["NewsArticle"], "headline": "Harbour bridge opens", "datePublished": "2026-08-20"}]})
     body = "The harbour bridge opens to traffic on Monday after long works in the town. " * 8
