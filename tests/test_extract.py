@@ -123,3 +123,11 @@ def test_languages(spark):
     texts = {"en": PROSE, "de": "Der Rat hat die neue Brücke eröffnet und der Bürgermeister sagte, dass es den Menschen auf dem Weg zu der Arbeit hilft.", "fr": "Le conseil a ouvert un pont sur la rivière et le maire dit que cela aide les gens dans la ville avec des bus.", "es": "El consejo abrió un puente en la ciudad y el alcalde dijo que es bueno para los vecinos de las zonas del sur."}
     for r in ask(spark, [(k, t) for k, t in texts.items()] + [("", "short"), ("", "zzz qqq " * 20), ("", None)], got=languages.detect(F.col("_2"))):
         assert (r.got or "") == r._1
+
+
+def test_heading_cut_off_within_a_reference():
+    assert pages.facts("<h1>a &amp;&amp; b&amp</h1>")["h1"] == "a && b&amp"
+    assert pages.facts("<h1 class=x>R&D &copy2026 &#39;x&#x27; &lt;</h1>")["h1"] == "R&D &copy2026 'x' <"
+    got = pages.facts('<script type="application/ld+json">{"@type": "Article", "headline": "<h1>A & B</h1>"}</script><!-- <h1> --><h1>C & D</h1><p>x &amp y</p>')
+    assert got["jsonld"]["headline"] == "<h1>A & B</h1>" and got["h1"] == "C & D"
+    assert pages.facts("<h1>open & shut")["h1"] is None
