@@ -168,6 +168,38 @@ def test_feeds_sitemaps_and_robots(spark):
     assert [(x.url, x.headline) for x in feeds.wordpress_refs(spark.createDataFrame([(1, wp), (2, "{}")], "doc long, body string")).collect()] == [("https://x.org/p", "T")]
 
 
+def _broadcasts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_links_are_resolved_once(spark):
+    links = spark.createDataFrame([("t", "https://a.org/news", "https://a.org/news/", "../news/2026/08/a-long-story", False, 0), ("t", "https://a.org/news", "https://a.org/news/", "/x/2026/08/b-long-story", False, 1)], "target string, newsroom_url string, base_url string, href string, in_chrome boolean, pos int")
+    found = discover.harvest(links)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("mailto:") == 1 and len(plan) < 60_000
+    assert [r.url for r in found.collect()] == ["https://a.org/news/2026/08/a-long-story"]
+    assert [r.url for r in discover.harvest(links.where("pos = 1")).collect()] == ["https://a.org/x/2026/08/b-long-story"]
+
+
+def test_links_of_targets_are_not_broadcast(spark):
+    targets = spark.createDataFrame([("t", "https://a.org/press")], "target string, newsroom_url string")
+    refs = spark.createDataFrame([("t", "rss", "rss", "https://a.org/blog/2026/08/a-long-story", True, "https://a.org/feed")], "target string, method string, source string, url string, declared boolean, feed_url string")
+    links = targets.select("target", F.explode(F.array(*[F.lit(f"https://a.org/page/{k}") for k in range(25)])).alias("url"))
+    assert _broadcasts(discover.cascade(refs, targets, links)) == 0
+    assert [tuple(r) for r in discover.cascade(refs, targets, links).collect()] == [("t", "none", 0)]
+
+
+def test_answers_are_dealt_to_paths(spark):
+    schema = "target string, newsroom_url string, base_url string, feed_url string, feed_absent boolean, probed_at timestamp"
+    targets = spark.createDataFrame([("t", "https://a.org/news/", "https://a.org/news/", None, False, None), ("u", "https://b.org/", "https://b.org/", None, False, None)], schema)
+    probes = spark.createDataFrame([("https://a.org/news/feed", True, True), ("https://a.org/rss.xml", True, True), ("https://a.org/feed", False, True), ("https://b.org/x/feed", True, True)], "url string, ok boolean, is_feed boolean")
+    found = discover.find_feeds(targets, spark.createDataFrame([], "target string, pos int, href string"), probes, NOW)
+    assert {tuple(r) for r in found.collect()} == {("t", "https://a.org/rss.xml", False, False), ("u", None, False, True)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    probing = next(line for line in plan.splitlines() if "posexplode" in line)
+    assert "newsroom_url" not in probing and _broadcasts(found) == 0
+
+
 def test_a_year_in_the_host_ranks_no_sitemap(spark):
     rows = spark.createDataFrame([("https://site2012.org/page-map",), ("https://site2012.org/archive-2026",), ("https://site2012.org/map?y=2026",), ("https://news.site.org/map",)], "url string")
     assert [r.p for r in rows.select(feeds.sitemap_priority(F.col("url"), F.lit(None).cast("string")).alias("p")).collect()] == [4, 3, 3, 1]
