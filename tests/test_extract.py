@@ -3,6 +3,7 @@
 import json
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +132,14 @@ def test_heading_cut_off_within_a_reference():
     got = pages.facts('<script type="application/ld+json">{"@type": "Article", "headline": "<h1>A & B</h1>"}</script><!-- <h1> --><h1>C & D</h1><p>x &amp y</p>')
     assert got["jsonld"]["headline"] == "<h1>A & B</h1>" and got["h1"] == "C & D"
     assert pages.facts("<h1>open & shut")["h1"] is None
+
+
+def test_long_pages_come_in_small_batches(spark):
+    rows = spark.range(12).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.lit("<p>x</p>"), 250_000).alias("html")).coalesce(1)
+    pages.parse(rows)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    assert max(r.n for r in rows.mapInArrow(sizes, "n long").collect()) <= 9
